@@ -5,7 +5,8 @@ The histogram has at most `capacity` entries, whatever the size of the data, so
      of its demand already covered; a knapsack dynamic program over the capacity finds the configuration of the
      highest price, which is used for a part of what its scarcest length has left.
   2. Rounding: each configuration's use is rounded down to a whole number of sequences.
-  3. What rounding leaves is packed best-fit: the largest length first, then those that fill its sequence best.
+  3. What rounding leaves is packed best-fit: the largest length first, then those that fill its
+     sequence best, or always the next that fits, whichever needs fewer sequences.
 Pieces then find their place by their rank among the pieces of their length, with one search in the plan.
 """
 
@@ -89,8 +90,14 @@ def round_and_finish(histogram: dict[int, int], used: dict[Config, float], capac
             plan.append((config, n))
             for size, k in config:
                 left[size] -= k * n
+    ends = [_finish(left, capacity, fit) for fit in (best_fit, largest_fit)]
+    return plan + min(ends, key=lambda e: sum(n for _, n in e))
+
+
+def _finish(left: dict[int, int], capacity: int, fit) -> list[tuple[Config, int]]:
+    left, plan = dict(left), []
     while any(left.values()):
-        config = best_fit(left, capacity)
+        config = fit(left, capacity)
         n = min(left[s] // k for s, k in config)
         plan.append((config, n))
         for s, k in config:
@@ -98,27 +105,33 @@ def round_and_finish(histogram: dict[int, int], used: dict[Config, float], capac
     return plan
 
 
+def largest_fit(left: dict[int, int], capacity: int) -> Config:
+    """The largest length left, then always as many as fit of the next one that still fits."""
+    config = []
+    for s in sorted((s for s, n in left.items() if n), reverse=True):
+        if k := min(capacity // s, left[s]):
+            config.append((s, k))
+            capacity -= k * s
+    return tuple(config)
+
+
 def best_fit(left: dict[int, int], capacity: int) -> Config:
-    """The largest length left, and with it those that fill the sequence best; large ones are preferred for that. A
-    length that is left at least once for every two sequences to come is put first instead, as often as its share asks.
+    """The largest length left, and with it those that fill the sequence best; large ones are preferred for that.
 
     Sums within the room are the bits of one number, so that a length is added to all of them by one shift.
     """
     sizes = sorted((s for s, n in left.items() if n), reverse=True)
-    to_come = sum(s * left[s] for s in sizes) / capacity
-    first = max(sizes, key=lambda s: (left[s] * s if left[s] >= to_come / 2 and to_come > 2 else 0, s))
-    start = max(1, min(left[first], capacity // first, int(left[first] / max(1, to_come)))) if left[first] >= to_come / 2 else 1
-    rest = capacity - start * first
+    first, rest = sizes[0], capacity - sizes[0]
     mask, sums, steps = (1 << rest + 1) - 1, 1, []
-    once = {s: min(left[s] - start * (s == first), rest // s, 1 if left[s] < 64 else 8) for s in sizes if s <= rest}
-    more = {s: min(left[s] - start * (s == first), rest // s) - n for s, n in once.items()}
+    once = {s: min(left[s] - (s == first), rest // s, 1 if left[s] < 64 else 8) for s in sizes if s <= rest}
+    more = {s: min(left[s] - (s == first), rest // s) - n for s, n in once.items()}
     for s, n in [*once.items(), *more.items()]:  # further copies only if single ones don't fill it
         if sums >> rest & 1:
             break
         for _ in range(n):
             steps.append((s, sums))
             sums |= sums << s & mask
-    at, config = sums.bit_length() - 1, {first: start}
+    at, config = sums.bit_length() - 1, {first: 1}
     for s, before in reversed(steps):
         if not before >> at & 1:
             config[s] = config.get(s, 0) + 1
