@@ -76,15 +76,15 @@ class DigestIndex:
         delete_path(self.spark, self.path)
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS) -> DataFrame:
     """Every row of docs with its verdict, against an index that starts empty."""
     spark = docs.sparkSession
-    return DigestIndex(spark, work_path(spark, "digest-index")).admit(docs, id_col, text_col)
+    return DigestIndex(spark, work_path(spark, "digest-index"), buckets).admit(docs, id_col, text_col)
 
 
-def keep_first_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_first_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS) -> DataFrame:
     """docs without the rows whose text another row keeps; all columns stay as they are."""
     spark, rows = docs.sparkSession, numbered(docs)
     digests = stored(rows.select(ROW, F.monotonically_increasing_id().alias("_row"), F.col(id_col).cast("long").alias("_id"), F.unhex(text_digest(F.col(text_col))).alias("digest")), "digests")
-    kept = DigestIndex(spark, work_path(spark, "digest-index")).admit_rows(digests, "_id").filter("kept").select(ROW)
+    kept = DigestIndex(spark, work_path(spark, "digest-index"), buckets).admit_rows(digests, "_id").filter("kept").select(ROW)
     return rows.join(kept, ROW, "left_semi").select(*docs.columns)

@@ -25,7 +25,7 @@ from .wordpieces import blocks, encoder
 
 CAPACITY, END_ID = 4096, 1
 #: Rounds of multiplicative weights, lengths priced in one round, part of the scarcest length used up, rate of the weights.
-ROUNDS, PRICED, STEP, RATE = 1200, 256, 1.0, 3.0
+ROUNDS, PRICED, STEP, RATE = 1200, 256, 0.5, 3.0
 #: The program ends when the best configuration fills less than this part of a sequence.
 FULL = 0.998
 

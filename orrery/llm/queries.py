@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, packing, sharding, simhash, tiff, token_files, toxicity
+from . import exact_dedup, katz, mixing, packing, sharding, simhash, tiff, token_files, toxicity
 
 SHARDS = 40
 #: Parameter: where the public tokenizer's vocabulary lies.
@@ -28,6 +28,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(_table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op2_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.fit_and_score(_table(spark, sf_dir, "documents"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(_table(spark, sf_dir, "documents"), SHARDS)
 
@@ -57,7 +61,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op3_sharding, op4_token_files, op5_simhash, op7_toxicity, op8_packing, op9_tiff, op10_mixing)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_katz, op3_sharding, op4_token_files, op5_simhash, op7_toxicity, op8_packing, op9_tiff, op10_mixing)}
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

@@ -45,7 +45,7 @@ def _lower(t):
 
 
 def test_exact_dedup(spark, docs, empty):
-    got = exact_dedup.deduplicate(docs).collect()
+    got = exact_dedup.deduplicate(docs, buckets=4).collect()
     groups = defaultdict(list)
     for i, t, *_ in _rows():
         groups[hashlib.sha256(_lower(t)).hexdigest()].append(i)
@@ -55,9 +55,9 @@ def test_exact_dedup(spark, docs, empty):
     kept = Counter(r.text_sha256 for r in got if r.kept)
     assert set(kept) == set(groups) and set(kept.values()) == {1}
     assert all(r.doc_id == r.keep_id for r in got if r.kept)
-    stays = exact_dedup.keep_first_copies(docs)
+    stays = exact_dedup.keep_first_copies(docs, buckets=4)
     assert stays.columns == docs.columns and stays.count() == len(groups)
-    assert exact_dedup.deduplicate(empty).count() == 0
+    assert exact_dedup.deduplicate(empty, buckets=4).count() == 0
 
 
 def test_digest_index_continues(spark, docs):
