@@ -5,15 +5,15 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..arrow import arrow_map
+
 #: A word is a maximal run of bytes that are not ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 _own_roots: dict[str, str] = {}
-_shipped: set[str] = set()
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -39,22 +39,6 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def arrow_map(df: DataFrame, run, schema) -> DataFrame:
-    """mapInArrow with this package sent to the executors, which need not have it installed."""
-    context = df.sparkSession.sparkContext
-    if context.applicationId not in _shipped:
-        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-        archive = f"{tempfile.mkdtemp(prefix='orrery-')}/{os.path.basename(package)}-package.zip"  # stays: executors fetch it later
-        with zipfile.ZipFile(archive, "w") as z:
-            for top, _, names in os.walk(package):
-                for n in names:
-                    if n.endswith(".py"):
-                        z.write(f"{top}/{n}", os.path.relpath(f"{top}/{n}", os.path.dirname(package)))
-        context.addPyFile(archive)
-        _shipped.add(context.applicationId)
-    return df.mapInArrow(run, schema)
-
-
 def delete_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
