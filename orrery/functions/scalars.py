@@ -103,7 +103,7 @@ def hash_order(*keys: Column, seed: int = 0) -> Column:
 def tolerant_json(c: Column) -> Column:
     """Text of JSON as VARIANT: as it is, else the first {...} in it, else with lone backslashes doubled; else null."""
     inner = F.regexp_extract(c, r"(?s)(\{.*\})", 1)
-    fixed = F.regexp_replace(inner, r'\\(?!["\\/bfnrtu])', r"\\\\\\\\")
+    fixed = F.regexp_replace(inner, r'\\(?!["\\/bfnrtu])', r"\\\\")
     return F.coalesce(F.try_parse_json(c), F.try_parse_json(inner), F.try_parse_json(fixed))
 
 

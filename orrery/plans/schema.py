@@ -67,13 +67,17 @@ def value(f: Field) -> Column:
     return s if TYPES[f.type] == "string" else s.try_cast(TYPES[f.type])
 
 
+def _links(f: Field) -> Column:
+    return F.transform(multi_valued(F.col(f"`{f.label}`")), lambda v: F.struct(F.lit(f.node).alias("node"), F.lit(f.node_key).alias("key"), v.alias("value"), F.lit(f.relation).alias("relation")))
+
+
 def project(rows: DataFrame, module: Module) -> DataFrame:
     """One typed row per identity: the configured columns and `entities`, the linked nodes. Rows without identity go;
     of several, the first by the column `position`, if there is one, stays."""
     from ..operators.graph import latest
 
     plain = [f for f in module.fields if f.role != "relation"]
-    links = [F.transform(multi_valued(F.col(f"`{f.label}`")), lambda v, f=f: F.struct(F.lit(f.node).alias("node"), F.lit(f.node_key).alias("key"), v.alias("value"), F.lit(f.relation).alias("relation"))) for f in module.fields if f.role == "relation"]
+    links = [_links(f) for f in module.fields if f.role == "relation"]
     entities = F.flatten(F.array(*[F.coalesce(x, F.array().cast("array<struct<node:string,key:string,value:string,relation:string>>")) for x in links])) if links else F.array().cast("array<struct<node:string,key:string,value:string,relation:string>>")
     keep = ["position"] if "position" in rows.columns else []
     out = rows.select(*keep, *[value(f).alias(f.key) for f in plain], entities.alias("entities"))
