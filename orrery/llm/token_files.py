@@ -102,7 +102,7 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = False, per
 
     manifest = spark.read.parquet(f"{path}/manifest")
     ddl = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids
-    return arrow_map(manifest.repartition("part"), run, ddl)
+    return arrow_map(manifest.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "part"), run, ddl)  # few rows, each much work
 
 
 def encode_documents(docs: DataFrame, vocabulary: str, end_id: int | None = 2, id_col: str = "doc_id", text_col: str = "text", width: int = 2) -> DataFrame:

@@ -14,7 +14,7 @@ from functools import lru_cache
 import numpy as np
 
 #: Words remembered per Python worker, about 250 bytes each.
-MEMO = 300_000
+MEMO = 700_000
 
 
 def exact_by_words(path: str) -> bool:
@@ -48,18 +48,11 @@ class Encoder:
             return [self._encode([t.decode("utf-8", "replace")])[0] for t in texts]
         split, known = [t.split() for t in texts], self.known
         new = list({w for words in split for w in words if w not in known})
-        if not new:
-            get = known.__getitem__
-        else:
-            made = dict(zip(new, self._encode([w.decode("utf-8", "replace") for w in new])))
-            room = self.memo - len(known)
-            if room >= len(new):
-                known.update(made)
-                get = known.__getitem__
-            else:
-                known.update((w, made[w]) for w in new[: max(0, room)])
-                get = lambda w: known[w] if w in known else made[w]
-        return [b"".join(map(get, words)) for words in split]
+        known.update(zip(new, self._encode([w.decode("utf-8", "replace") for w in new])) if new else ())
+        out = [b"".join(map(known.__getitem__, words)) for words in split]
+        for w in new[len(new) - max(0, len(known) - self.memo) :] if len(known) > self.memo else ():
+            del known[w]
+        return out
 
 
 @lru_cache(2)
@@ -68,7 +61,7 @@ def encoder(path: str, width: int = 4) -> Encoder:
     return Encoder(path, width)
 
 
-def blocks(column, most: int = 1 << 20):
+def blocks(column, most: int = 4 << 20):
     """Lists of the texts of an Arrow column as bytes, null as empty, of about `most` bytes together at most, or one text."""
     import pyarrow as pa
 
