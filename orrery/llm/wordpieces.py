@@ -41,7 +41,10 @@ class Encoder:
             raise ValueError(f"ids don't fit in {width} bytes")
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        out: list[bytes] = []
+        for i in range(0, len(texts), 2048):  # an encoding takes far more room than its ids
+            out += [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts[i : i + 2048], add_special_tokens=False)]
+        return out
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_words:
