@@ -93,15 +93,18 @@ class Block:
         before = np.empty(len(token), np.int64)
         before[1:] = self.token[:-1]
         before[first] = len(words)  # stands for the start
-        self.key = self.token * (len(words) + 1) + before
+        self.key = self.token * (len(words) + 1)
+        self.key += before
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Sorted different pairs: word number, history number, training count."""
-        k = np.sort(self.key * 2 + self.train)
-        pair = k >> 1
-        at = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
-        w, h = np.divmod(pair[at], len(self.words) + 1)
-        return w, h, np.add.reduceat(k & 1, at)
+        k = self.key * 2
+        k += self.train
+        k.sort()
+        at = np.flatnonzero(np.concatenate([[True], (k[1:] ^ k[:-1]) > 1]))
+        w, h = np.divmod(k[at] >> 1, len(self.words) + 1)
+        k &= 1
+        return w, h, np.add.reduceat(k, at)
 
     def hashes(self, number: np.ndarray) -> np.ndarray:
         return np.append(self.words, np.uint64(START))[number]
@@ -125,6 +128,21 @@ BLOCKS = pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("held
 BLOCKS_DDL = "block long, ids array<long>, held array<boolean>, sizes array<int>, words binary, token binary, counts binary, trained long, often array<long>"
 
 
+def _number(hashes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Different hashes in ascending order and, for each given one, its place there. Empties the list, to hold less memory."""
+    every = np.concatenate(hashes)
+    hashes.clear()
+    order = np.argsort(every, kind="stable")
+    every = every[order]
+    new = np.concatenate([[True], every[1:] != every[:-1]])
+    every = every[new]
+    place = np.cumsum(new, dtype=np.int32)
+    place -= 1
+    token = np.empty(len(order), np.int32)
+    token[order] = place
+    return every, token
+
+
 def _make_blocks(batches: Iterator[pa.RecordBatch], block: int, common: int) -> Iterator[pa.RecordBatch]:
     part, n = TaskContext.get().partitionId(), 0
     ids, hashes, size = [], [], 0
@@ -132,7 +150,7 @@ def _make_blocks(batches: Iterator[pa.RecordBatch], block: int, common: int) ->
     def flush() -> pa.RecordBatch:
         held = np.array([zlib.crc32(b"" if i is None else str(i).encode()) % FOLDS == 0 for i in ids])
         sizes = np.array([len(x) for x in hashes])
-        words, token = np.unique(np.concatenate(hashes), return_inverse=True)
+        words, token = _number(hashes)
         counts = np.bincount(token[np.repeat(~held, sizes)], minlength=len(words))
         often = words[counts > counts.sum() / (2 * common)]
         row = [[part << 24 | n], [ids], [held.tolist()], [sizes.tolist()], [_six(words)], [_zip(token)], [_zip(counts)], [int(counts.sum())], [often.astype(np.int64).tolist()]]
@@ -170,9 +188,10 @@ def _send_pairs(common: np.ndarray, buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _each(batch):
                 b = _load(row)
                 w, h, count = b.pairs()
+                b.key = b.token = None  # not needed here any more
                 order, at = _order(b, w, h, common, buckets)
                 for k in range(buckets):
                     own = order[at[k] : at[k + 1]]
@@ -189,11 +208,17 @@ def _send_pairs(common: np.ndarray, buckets: int):
     return run
 
 
+def _each(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Its rows one by one, so that their contents are not all held twice."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
 def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, list[dict]]]:
     """Consecutive rows of equal key, of rows sorted by it."""
     now, rows = None, []
     for b in batches:
-        for r in b.to_pylist():
+        for r in _each(b):
             if r[key] != now:
                 if rows:
                     yield now, rows
@@ -287,7 +312,7 @@ def _send_histories(one: Unigrams, d2: np.ndarray, buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _each(batch):
                 runs, word_count, c = _unzip(row["data"], 3)
                 h, c = _eight(row["histories"]), c.astype(np.int64)
                 if not len(h):
