@@ -408,7 +408,7 @@ def fit_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     n, buckets = total["n"] or 0, max(8, -(-(total["all"] or 0) // bucket))
     common, totals = _common_words(blocks, n, common_share)
     sent = arrow_map(blocks.select("block", "sizes", "held", "words", "token"), _send_pairs(common, buckets), PACK_DDL)
-    spread = sent.repartition(buckets, "bucket").sortWithinPartitions("bucket", "block")
+    spread = sent.repartitionById(buckets, F.col("bucket").cast("int")).sortWithinPartitions("bucket", "block")
     counted_path = f"{path}/ngrams"
     arrow_map(spread, _route(common, totals), COUNTED_DDL).write.partitionBy("kind").parquet(counted_path)
     counted = spark.read.schema(COUNTED_DDL).parquet(counted_path)
@@ -417,14 +417,16 @@ def fit_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     d2 = discounts([of[f"of2_{r}"] for r in range(DISCOUNTED + 2)])
     sums = arrow_map(counted.filter("kind = 2").select("data", "histories"), _send_histories(one, d2, buckets), PACK_DDL)
     asked = counted.filter("kind = 1").select("kind", "bucket", "block", "data")
-    gathered = sums.unionByName(asked).repartition(buckets, "bucket").sortWithinPartitions("bucket", "block")
+    gathered = sums.unionByName(asked).repartitionById(buckets, F.col("bucket").cast("int")).sortWithinPartitions("bucket", "block")
     arrow_map(gathered, _backoff, PACK_DDL).write.partitionBy("kind").parquet(f"{path}/backoff")
     backoff = spark.read.schema(PACK_DDL).parquet(f"{path}/backoff").filter("kind = 1")
     answers = counted.filter("kind = 0").select("kind", "bucket", "block", "data").unionByName(backoff.select("kind", "bucket", "block", "data"))
     own = blocks.select(F.lit(-1).alias("kind"), F.lit(-1).cast("long").alias("bucket"), "block", "ids", "sizes", "held", "words", "token")
     together = own.unionByName(answers, allowMissingColumns=True)
-    parts = max(spark.sparkContext.defaultParallelism, -(-(total["all"] or 0) // (2 * bucket)))
-    ready = together.repartition(parts, "block").sortWithinPartitions("block", "kind", "bucket")
+    parts = max(spark.sparkContext.defaultParallelism, -(-(total["all"] or 0) // bucket))
+    # blocks are dealt out evenly by their numbers, as several of one task would be held at once
+    turn = F.shiftright("block", 24) + F.col("block").bitwiseAND(F.lit((1 << 24) - 1)) * F.lit(parts // 2 + 1)
+    ready = together.repartitionById(parts, F.pmod(turn, F.lit(parts)).cast("int")).sortWithinPartitions("block", "kind", "bucket")
     return arrow_map(ready, _score(common, buckets, one, d2), SCORES_DDL).withColumnRenamed("doc_id", id_col)
 
 
