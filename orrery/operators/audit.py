@@ -48,9 +48,9 @@ def ranking_matches(expected: Column, found: Column, top: int = 3) -> tuple[Colu
     return F.get(expected, F.lit(0)) == F.get(found, F.lit(0)), F.sort_array(F.slice(expected, 1, top)) == F.sort_array(F.slice(found, 1, top))
 
 
-def routing(results: DataFrame, chosen: Column, wanted: Column, got: Column, best: Column) -> DataFrame:
-    """Misroutes, and those that lose hits against the wanted route."""
-    return results.agg(F.count(F.lit(1)).alias("n"), F.count_if(chosen != wanted).alias("misrouted"), F.count_if((chosen != wanted) & (got < best)).alias("costly"))
+def routing(results: DataFrame, chosen: Column, wanted: Column, got: Column, best: Column, by: list[str] | None = None) -> DataFrame:
+    """Misroutes, and those that lose hits against the wanted route; with `by` one row per group, null being one."""
+    return results.groupBy(*by or []).agg(F.count(F.lit(1)).alias("n"), F.count_if(chosen != wanted).alias("misrouted"), F.count_if((chosen != wanted) & (got < best)).alias("costly"))
 
 
 def paired(a: DataFrame, b: DataFrame, key: str, value: str) -> DataFrame:

@@ -459,12 +459,7 @@ def status_rule(spark, sf):
 
 @query("SELECT event_type, count(*) AS n, count(*) FILTER (user_id % 3 <> event_id % 3) AS misrouted, count(*) FILTER (user_id % 3 <> event_id % 3 AND value < 10) AS costly FROM events GROUP BY 1")
 def routing_cost(spark, sf):
-    e = _Tables(spark, sf).events
-    out = None
-    for (kind,) in e.select("event_type").distinct().orderBy("event_type").limit(5).collect():
-        r = audit.routing(e.filter(F.col("event_type") == kind), F.col("user_id") % 3, F.col("event_id") % 3, F.col("value"), F.lit(10.0)).select(F.lit(kind).alias("event_type"), "*")
-        out = r if out is None else out.unionByName(r)
-    return out
+    return audit.routing(_Tables(spark, sf).events, F.col("user_id") % 3, F.col("event_id") % 3, F.col("value"), F.lit(10.0), ["event_type"])
 
 
 @query(f"WITH b AS (SELECT item_id, strip_accents(lower(text)) AS t FROM benchmark WHERE item_id < 20), d AS (SELECT doc_id, strip_accents(lower(text)) AS t FROM documents), w AS (SELECT b.item_id, d.doc_id, regexp_extract_all(b.t, '{WORDS}') AS w, d.t FROM b, d) SELECT item_id, doc_id, round(len([x for x in w if contains(t, x)]) / len(w), 9) AS ratio FROM w WHERE len(w) > 0 AND round(len([x for x in w if contains(t, x)]) / len(w), 9) >= 0.9".replace(" WHERE item_id < 20", ""))
