@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator, Mapping
 
@@ -105,7 +106,10 @@ class TemplateIndex:
             words = [p for w in text.encode().split() if (p := plain(w))]
             if len(words) < k:
                 raise ValueError(f"a template needs at least {k} words: {self.names[t]}")
-            self.shingles.append({tuple(words[i : i + k]) for i in range(len(words) - k + 1)})
+            places = defaultdict(list)
+            for i in range(len(words) - k + 1):
+                places[tuple(words[i : i + k])].append(i)
+            self.shingles.append(dict(places))
             self.hashes.append(np.unique(_shingle_hashes(np.array([hashes[w] for w in words], np.uint64), k)))
             n = len(self.shingles[t])
             self.need.append(math.ceil(containment * n - 1e-9))
@@ -169,34 +173,82 @@ class TemplateIndex:
     def spans(self, t: int, h: np.ndarray, words: list[bytes]) -> list[tuple[int, int, int]]:
         """(first word, word after the last, different shingles found) of template t's matches, by the words themselves.
 
-        From the left, without overlap: from a shingle of the template on, as many shingles as the template has and a
-        quarter more; it is a match where these hold enough of the template's, and ends with the last of them.
+        From the left, without overlap: from a shingle of the template on, within as many shingles as the template
+        has and a quarter more, those that follow each other as in the template; it is a match where these hold enough
+        of the template's, and ends where they do. Of starts within a match the one that finds most counts, of equal
+        ones the first, so that the beginning of a cut copy can be taken as that of a whole one after it. Between such matches the order is not asked for: moved
+        paragraphs count too. Shingles of the template that follow within the span and begin no match belong to it.
         """
-        k, wanted, keys = self.k, self.shingles[t], self.hashes[t]
+        k, wanted, keys, need, span = self.k, self.shingles[t], self.hashes[t], self.need[t], self.span[t]
         at = np.flatnonzero(keys[np.minimum(np.searchsorted(keys, h), len(keys) - 1)] == h).tolist()
         hits = [(p, s) for p in at if (s := tuple(words[p : p + k])) in wanted]
-        out, inside, j, i = [], Counter(), 0, 0
-        while i < len(hits):
-            while j < len(hits) and hits[j][0] < hits[i][0] + self.span[t]:
+        starts = [i for i, _ in self._dense(hits, 0, len(hits), span, need)]
+        runs, i = [], 0
+        while i < len(starts):
+            first = starts[i]
+            i += 1
+            if runs and first < runs[-1][1]:
+                continue
+            best = self._run(hits, first, wanted, span)
+            if best[1] < need:
+                continue
+            begin, j = first, i
+            while j < len(starts) and starts[j] < best[0]:
+                other = self._run(hits, starts[j], wanted, span)
+                if other[1] > best[1]:
+                    begin, best = starts[j], other
+                j += 1
+            runs.append((begin, best[0]))
+        out, free = list(runs), 0
+        for begin, end in [*runs, (len(hits), len(hits))]:
+            for first, last in self._dense(hits, free, begin, span, need):
+                if first >= free:
+                    out.append((first, last))
+                    free = last
+            free = end
+        out.sort()
+        for n, (a, b) in enumerate(out):
+            stop = out[n + 1][0] if n + 1 < len(out) else len(hits)
+            while b < stop and hits[b][0] < hits[a][0] + span:
+                b += 1
+            out[n] = (a, b)
+        return [(hits[a][0], hits[b - 1][0] + k, len({s for _, s in hits[a:b]})) for a, b in out]
+
+    @staticmethod
+    def _dense(hits: list[tuple], a: int, b: int, span: int, need: int) -> list[tuple[int, int]]:
+        """(start, end) for every start in hits[a:b] whose span holds enough different shingles; it ends after the last new one."""
+        out, inside, j = [], Counter(), a
+        for i in range(a, b):
+            while j < b and hits[j][0] < hits[i][0] + span:
                 inside[hits[j][1]] += 1
                 j += 1
-            step = i + 1
-            if len(inside) >= self.need[t]:
-                end = hits[j - 1][0] + k
-                out.append((hits[i][0], end, len(inside)))
-                while step < len(hits) and hits[step][0] < end:
-                    step += 1
-                if step > j:  # the next start lies beyond what has been counted
-                    inside.clear()
-                    j = i = step
-                    continue
-            for p, s in hits[i:step]:
-                inside[s] -= 1
-                if not inside[s]:
-                    del inside[s]
-            i = step
+            if len(inside) >= need:
+                firsts = {}
+                for n in range(i, j):
+                    firsts.setdefault(hits[n][1], n)
+                out.append((i, max(firsts.values()) + 1))
+            inside[hits[i][1]] -= 1
+            if not inside[hits[i][1]]:
+                del inside[hits[i][1]]
         return out
 
+    @staticmethod
+    def _run(hits: list[tuple], i: int, wanted: Mapping[tuple, list[int]], span: int) -> tuple[int, int]:
+        """(end, different shingles up to there) of the longest run of hits from i on in the template's order."""
+        first = wanted[hits[i][1]][0]
+        ends, end, j = [first], i + 1, i + 1
+        while j < len(hits) and hits[j][0] < hits[i][0] + span:
+            for p in reversed(wanted[hits[j][1]]):
+                if p > first:
+                    n = bisect_left(ends, p)
+                    if n == len(ends):
+                        ends.append(p)
+                        end = j + 1
+                    else:
+                        ends[n] = p
+            j += 1
+        return end, len({s for _, s in hits[i:end]})
+
     def scan(self, text: bytes, memo: dict | None = None) -> Iterator[tuple[int, int, int, int]]:
         """(template, start byte, end byte, different shingles found) of every match in the whole text."""
         memo = _Hashes() if memo is None else memo
