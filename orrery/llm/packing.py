@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_map, running_sums, stored
-from .wordpieces import blocks, encoder
+from .wordpieces import encoder
 
 CAPACITY, END_ID = 4096, 1
 #: Rounds of multiplicative weights, lengths priced in one round, part of the scarcest length used up, rate of the weights.
@@ -186,23 +186,26 @@ def place(pieces: DataFrame, capacity: int = CAPACITY, order: tuple[str, ...] =
 def cut_documents(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """Encodes every whole text (null: empty), appends end_id and cuts what is longer than the capacity:
     (id, piece, start, length, ids_crc32), and the ids themselves if asked for. The texts are not shuffled."""
-    end = np.array([end_id], "<u4").tobytes()
     names = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids]
-    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary)
         for b in batches:
-            ids, done = b.column("id").to_pylist(), 0
-            for block in blocks(b.column("text")):
-                out = []
-                for doc, x in zip(ids[done : done + len(block)], encode(block)):
-                    x += end
-                    for piece, i in enumerate(range(0, len(x), 4 * capacity)):
-                        part = x[i : i + 4 * capacity]
-                        out.append((doc, piece, i // 4, len(part) // 4, zlib.crc32(part), *[np.frombuffer(part, "<u4").tolist()] * with_ids))
-                done += len(block)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
+            done = 0
+            for k, flat, bounds in encode.texts(b.column("text"), end_id):
+                n = np.diff(bounds)
+                pieces = -(-n // capacity)
+                doc = np.repeat(np.arange(k), pieces)
+                piece = np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                start = piece * capacity
+                length = np.minimum(capacity, n[doc] - start)
+                at = np.append(bounds[doc] + start, len(flat))  # pieces lie one after the other
+                view, places = memoryview(np.ascontiguousarray(flat)).cast("B"), (4 * at).tolist()
+                crcs = [zlib.crc32(view[a:z]) for a, z in zip(places, places[1:])]
+                lists = [pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat.astype(np.int64)))] * with_ids
+                ids = b.column("id").slice(done, k).take(pa.array(doc))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crcs, pa.int64()), *lists], names=names)
+                done += k
 
     ddl = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * with_ids
     return arrow_map(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), run, ddl)

@@ -15,12 +15,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_map, work_path
-from .wordpieces import blocks, encoder
+from .wordpieces import encoder
 
 NO_ID = -(2**63)
 
@@ -39,28 +40,27 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int |
     """
     spark = docs.sparkSession
     ranged = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).repartitionByRange(F.col("id").asc_nulls_last()).sortWithinPartitions(F.col("id").asc_nulls_last())
-    end = b"" if end_id is None else np.array([end_id], f"<u{width}").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         files, root = _filesystem(path)
         name = f"{root}/part-{part:06d}-{uuid.uuid4().hex}"
-        encode, at, offsets, ids, out = encoder(vocabulary, width), 0, [0], [], None
+        encode, at, offsets, ids, out = encoder(vocabulary, width), 0, [np.zeros(1, np.uint64)], [], None
         for b in batches:
-            ids += [NO_ID if x is None else x for x in b.column("id").to_pylist()]
-            for block in blocks(b.column("text")):
+            ids.append(pc.fill_null(b.column("id"), NO_ID).to_numpy(zero_copy_only=False))
+            for _, flat, bounds in encode.texts(b.column("text"), end_id):
                 if out is None:
                     files.create_dir(root, recursive=True)
                     out = files.open_output_stream(name + ".bin")
-                for x in encode(block):
-                    out.write(x + end)
-                    at += (len(x) + len(end)) // width
-                    offsets.append(at)
+                out.write(flat.tobytes())
+                offsets.append((bounds[1:] + at).astype("<u8"))
+                at += len(flat)
         if out is not None:
             out.close()
+            own = np.concatenate(ids)
             with files.open_output_stream(name + ".idx") as f:
-                f.write(np.array([len(ids)], "<i8").tobytes() + np.array(offsets, "<u8").tobytes() + np.array(ids, "<i8").tobytes())
-            yield pa.RecordBatch.from_pydict({"part": [part], "path": [name], "n_docs": [len(ids)], "n_tokens": [at], "width": [width]}, schema)
+                f.write(np.array([len(own)], "<i8").tobytes() + np.concatenate(offsets).astype("<u8").tobytes() + own.astype("<i8").tobytes())
+            yield pa.RecordBatch.from_pydict({"part": [part], "path": [name], "n_docs": [len(own)], "n_tokens": [at], "width": [width]}, schema)
 
     schema = pa.schema([("part", pa.int64()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("width", pa.int64())])
     parts = arrow_map(ranged, run, "part long, path string, n_docs long, n_tokens long, width long")
@@ -84,9 +84,10 @@ def _open(base_uri: str, name: str, width: int):
     return ids, raw[8 : 16 + 8 * n].view("<u8"), raw[16 + 8 * n :].view("<i8")
 
 
-def read_token_files(spark: SparkSession, path: str, with_ids: bool = False, per_batch: int = 4096) -> DataFrame:
+def read_token_files(spark: SparkSession, path: str, with_ids: bool = False, per_batch: int = 4 << 20) -> DataFrame:
     """Per document, from the files: doc_id, start (ids of all documents before it), n_tokens, ids_crc32 (unsigned, of
-    its ids as little-endian 32-bit integers), and ids if asked for."""
+    its ids as little-endian 32-bit integers), and ids if asked for. About `per_batch` ids, or one document, are held
+    at a time."""
     fields = [("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())] + [("ids", pa.list_(pa.int64()))] * with_ids
     schema = pa.schema(fields)
 
@@ -94,11 +95,18 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = False, per
         for b in batches:
             for r in b.to_pylist():
                 ids, offsets, docs = _open(path, r["path"], r["width"])
-                for i in range(0, r["n_docs"], per_batch):
-                    bounds = offsets[i : i + per_batch + 1].astype(np.int64)
-                    own = [np.asarray(ids[a:z], "<u4") for a, z in zip(bounds, bounds[1:])]
-                    columns = [pa.array([None if d == NO_ID else d for d in docs[i : i + per_batch].tolist()], pa.int64()), pa.array(bounds[:-1] + r["base"]), pa.array(np.diff(bounds)), pa.array([zlib.crc32(x.tobytes()) for x in own], pa.int64())]
-                    yield pa.RecordBatch.from_arrays([*columns, *[pa.array([x.tolist() for x in own], pa.list_(pa.int64()))] * with_ids], schema=schema)
+                bounds, i = offsets.astype(np.int64), 0
+                while i < r["n_docs"]:
+                    j = max(i + 1, int(np.searchsorted(bounds, bounds[i] + per_batch, "right")) - 1)
+                    at = bounds[i : j + 1]
+                    flat = np.array(ids[at[0] : at[-1]], "<u4")
+                    view, places = memoryview(flat).cast("B"), (4 * (at - at[0])).tolist()
+                    crcs = [zlib.crc32(view[a:z]) for a, z in zip(places, places[1:])]
+                    own = docs[i:j]
+                    columns = [pa.array(own, pa.int64(), mask=own == NO_ID), pa.array(at[:-1] + r["base"]), pa.array(np.diff(at)), pa.array(crcs, pa.int64())]
+                    lists = [pa.ListArray.from_arrays(pa.array(at - at[0], pa.int32()), pa.array(flat.astype(np.int64)))] * with_ids
+                    yield pa.RecordBatch.from_arrays([*columns, *lists], schema=schema)
+                    i = j
 
     manifest = spark.read.parquet(f"{path}/manifest")
     ddl = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids

@@ -5,6 +5,7 @@ import random
 import struct
 import zlib
 from collections import Counter, defaultdict
+from functools import lru_cache
 
 import numpy as np
 import pytest
@@ -185,10 +186,15 @@ def test_masks_cover_every_pair():
         assert any(not d & m for m in masks)
 
 
-def _ids(text):
+@lru_cache(1)
+def _tokenizer():
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(queries.vocabulary()).encode(text or "", add_special_tokens=False).ids
+    return Tokenizer.from_file(queries.vocabulary())
+
+
+def _ids(text):
+    return _tokenizer().encode(text or "", add_special_tokens=False).ids
 
 
 def test_wordpieces_equal_whole_texts():
@@ -200,6 +206,23 @@ def test_wordpieces_equal_whole_texts():
         assert np.frombuffer(got, "<u4").tolist() == _ids(t), repr(t)
 
 
+@pytest.mark.parametrize("block", [1000, 8 << 20])
+def test_wordpieces_of_mixed_signs(block, monkeypatch):
+    """Contractions, special names in any case, signs beyond Latin-1, and texts longer than a block."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(wordpieces, "BLOCK", block)
+    r = random.Random(5)
+    alphabet = [chr(i) for i in range(0x20, 0x180)] + ["'", "\u2019", "\u0301", "\n", "\t", "'s", "'LL", "<|endoftext|>", "<|EndOfText|>", " ", " "]
+    texts = ["".join(r.choice(alphabet) for _ in range(r.randrange(1, 60))) for _ in range(800)] + ["so long " * 400, "\n" * 3000, "x" * 3000, ""]
+    encode, done = wordpieces.Encoder(queries.vocabulary(), 2, memo=500), 0
+    for n, ids, bounds in encode.texts(pa.array(texts + [None]), 2):
+        for t, a, z in zip((texts + [None])[done:], bounds, bounds[1:]):
+            assert ids[a:z].tolist() == _ids(t) + [2], repr(t)
+        done += n
+    assert done == len(texts) + 1
+
+
 def test_token_files(spark, docs, empty):
     got = sorted(token_files.encode_documents(docs, queries.vocabulary()).collect(), key=lambda r: r.start)
     assert [r.doc_id for r in got] == sorted((i for i, *_ in _rows() if i is not None)) + [None, None]
