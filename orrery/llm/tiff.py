@@ -27,6 +27,11 @@ TYPE_BYTES = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 6: 1, 7: 1, 8: 2, 9: 4, 10: 8, 11: 4
 TYPE_CODES = {1: "B", 3: "H", 4: "I", 6: "b", 8: "h", 9: "i"}
 CLEAR, END, FIRST = 256, 257, 258
 
+#: Most bytes that one byte of a codec can stand for (LZW: 4096 entries, each longer by one, of at least 9 bits).
+EXPANSION = {NONE: 1, PACKBITS: 64, DEFLATE: 1032, OLD_DEFLATE: 1032, LZW: 4096}
+#: Pages of more bytes are not read: one page has to fit in a task.
+MOST = 1 << 30
+
 #: Layout of texts: samples in a row, rows in a strip, rows in a page.
 ROW, STRIP, PAGE = 64, 256, 1 << 16
 
@@ -102,9 +107,10 @@ def lzw_encode(data: bytes) -> bytes:
     return bytes(out)
 
 
-def lzw_decode(data: bytes) -> bytes:
+def lzw_decode(data: bytes, size: int) -> bytes:
+    """Stops once `size` bytes are there."""
     single = [bytes((i,)) for i in range(256)] + [b"", b""]
-    table, width, bits, held, last, out = list(single), 9, 0, 0, b"", []
+    table, width, bits, held, last, out, made = list(single), 9, 0, 0, b"", [], 0
     for byte in data:
         bits, held = (bits & (1 << held) - 1) << 8 | byte, held + 8
         if held < width:
@@ -122,10 +128,12 @@ def lzw_decode(data: bytes) -> bytes:
             text = last + last[:1]
         else:
             raise ValueError("LZW code out of range")
-        if last:
+        if last and len(table) < 4096:
             table.append(last + text[:1])
         out.append(text)
-        last = text
+        last, made = text, made + len(text)
+        if made >= size:
+            break
         if len(table) + 1 >= 1 << width and width < 12:
             width += 1
     return b"".join(out)
@@ -139,7 +147,7 @@ def _expand(data: bytes, codec: int, size: int) -> bytes:
     if codec == NONE:
         return data
     if codec == LZW:
-        return lzw_decode(data)
+        return lzw_decode(data, size)
     if codec in (DEFLATE, OLD_DEFLATE):
         return zlib.decompressobj().decompress(data, size)
     if codec == PACKBITS:
@@ -208,6 +216,11 @@ def read_page(data: bytes, tags: dict[int, tuple[int, ...]]) -> np.ndarray:
     w, h = (one(TILE_WIDTH), one(TILE_HEIGHT)) if tiled else (width, min(one(ROWS_PER_STRIP, height), height))
     offsets, counts = (tags[TILE_OFFSETS], tags[TILE_COUNTS]) if tiled else (tags[STRIP_OFFSETS], tags[STRIP_COUNTS])
     across, down, deep = -(-width // w), -(-height // h), 1 if planar else samples
+    if not 0 < samples < 1 << 16 or len(offsets) != len(counts) or len(offsets) < across * down * (samples if planar else 1):
+        raise ValueError("strips or tiles are missing")
+    # before room is made for them: the samples claimed must be what the strips or tiles can hold
+    if height * width * samples * kind.itemsize > min(MOST, EXPANSION.get(codec, 1) * sum(min(c, len(data)) for c in counts)):
+        raise ValueError("more samples are claimed than are read or than the strips or tiles can hold")
     page = np.zeros((height, width, samples), kind.newbyteorder("="))
     for i, (at, size) in enumerate(zip(offsets, counts)):
         plane, k = divmod(i, across * down)
@@ -233,11 +246,15 @@ def read_tiff(data: bytes) -> list[np.ndarray]:
     return [read_page(data, tags) for tags in directories(data)]
 
 
+_FAULTS = (ValueError, KeyError, TypeError, IndexError, struct.error, zlib.error, ZeroDivisionError, OverflowError, MemoryError)
+
+
 def pages(media: DataFrame, content: str = "media", with_samples: bool = True) -> DataFrame:
     """One row per page: the other columns of `media`, then page (from 0), width, height, samples, bits, compression,
     predictor, pixels (rows of native-order samples, if asked for), error.
 
-    A null or empty content gives no rows; bytes that can't be read give one row with page -1 and the reason.
+    A null or empty content gives no rows. A page that can't be read gives a row with its number and the reason, beside
+    the pages that can; where no further directory can be read, page is -1.
     """
     rest = [c for c in media.columns if c != content]
     own = [("page", pa.int32()), ("width", pa.int32()), ("height", pa.int32()), ("samples", pa.int32()), ("bits", pa.int32()), ("compression", pa.int32()), ("predictor", pa.int32()), ("pixels", pa.binary()), ("error", pa.string())]
@@ -248,10 +265,13 @@ def pages(media: DataFrame, content: str = "media", with_samples: bool = True) -
                 rows, data = [], x.as_py()
                 try:
                     for n, tags in enumerate(directories(data) if data else ()):
-                        p = read_page(data, tags)
-                        rows.append((n, p.shape[1], p.shape[0], p.shape[2], 8 * p.itemsize, tags.get(COMPRESSION, (1,))[0], tags.get(PREDICTOR, (1,))[0], p.tobytes() if with_samples else None, None))
-                except (ValueError, KeyError, TypeError, struct.error, zlib.error, ZeroDivisionError, OverflowError) as e:
-                    rows = [(-1, *[None] * 7, f"{type(e).__name__}: {e}"[:200])]
+                        try:
+                            p = read_page(data, tags)
+                            rows.append((n, p.shape[1], p.shape[0], p.shape[2], 8 * p.itemsize, tags.get(COMPRESSION, (1,))[0], tags.get(PREDICTOR, (1,))[0], p.tobytes() if with_samples else None, None))
+                        except _FAULTS as e:
+                            rows.append((n, *[None] * 7, f"{type(e).__name__}: {e}"[:200]))
+                except _FAULTS as e:
+                    rows.append((-1, *[None] * 7, f"{type(e).__name__}: {e}"[:200]))
                 if rows:
                     again = pa.array([i] * len(rows))
                     yield pa.RecordBatch.from_arrays([*[b.column(c).take(again) for c in rest], *[pa.array(v, t) for v, (_, t) in zip(zip(*rows), own)]], names=[*rest, *[n for n, _ in own]])
