@@ -124,8 +124,8 @@ def _runs(x: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([np.ones(min(1, len(x)), bool), x[1:] != x[:-1]]))
 
 
-BLOCKS = pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int32())), ("words", pa.binary()), ("token", pa.binary()), ("counts", pa.binary()), ("trained", pa.int64()), ("often", pa.list_(pa.int64()))])
-BLOCKS_DDL = "block long, ids array<long>, held array<boolean>, sizes array<int>, words binary, token binary, counts binary, trained long, often array<long>"
+BLOCKS = pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int32())), ("words", pa.binary()), ("token", pa.binary()), ("counts", pa.binary()), ("trained", pa.int64()), ("often", pa.list_(pa.int64())), ("often_counts", pa.list_(pa.int64()))])
+BLOCKS_DDL = "block long, ids array<long>, held array<boolean>, sizes array<int>, words binary, token binary, counts binary, trained long, often array<long>, often_counts array<long>"
 
 
 def _number(hashes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -152,8 +152,8 @@ def _make_blocks(batches: Iterator[pa.RecordBatch], block: int, common: int) ->
         sizes = np.array([len(x) for x in hashes])
         words, token = _number(hashes)
         counts = np.bincount(token[np.repeat(~held, sizes)], minlength=len(words))
-        often = words[counts > counts.sum() / (2 * common)]
-        row = [[part << 24 | n], [ids], [held.tolist()], [sizes.tolist()], [_six(words)], [_zip(token)], [_zip(counts)], [int(counts.sum())], [often.astype(np.int64).tolist()]]
+        often = np.flatnonzero(counts > counts.sum() / (2 * common))
+        row = [[part << 24 | n], [ids], [held.tolist()], [sizes.tolist()], [_six(words)], [_zip(token)], [_zip(counts)], [int(counts.sum())], [words[often].astype(np.int64).tolist()], [counts[often].tolist()]]
         return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(row, BLOCKS)], schema=BLOCKS)
 
     for b in batches:
@@ -459,9 +459,13 @@ def _route(common: np.ndarray, totals: np.ndarray):
 
 
 def _common_words(blocks: DataFrame, n: int, share: int) -> tuple[np.ndarray, np.ndarray]:
-    """Words with more than 1 / share of the training tokens, as far as single blocks show them, and their counts."""
-    often = blocks.select("trained", F.explode("often").alias("w")).groupBy("w").agg((F.sum("trained") / (2.0 * share)).alias("least"))
-    words = np.array(sorted(r["w"] for r in often.filter(F.col("least") > n / (4.0 * share)).select("w").collect()), np.uint64)  # below 8 * share**2
+    """Words with more than 1 / share of the training tokens, and their counts.
+
+    Blocks list the words with more than 1 / (2 share) of their own tokens. What a word has in blocks that don't list it
+    is at most 1 / (2 share) of all tokens, so one that is common has more than that in those that do.
+    """
+    listed = blocks.select(F.explode(F.arrays_zip("often", "often_counts")).alias("x")).groupBy(F.col("x.often").alias("w")).agg(F.sum("x.often_counts").alias("c"))
+    words = np.array(sorted(r["w"] for r in listed.filter(F.col("c") * (2 * share) > n).select("w").collect()), np.uint64)  # below 2 * share
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
