@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -24,61 +25,115 @@ from .common import arrow_map, running_sums, stored
 from .wordpieces import encoder
 
 CAPACITY, END_ID = 4096, 1
-#: Rounds of multiplicative weights, lengths priced in one round, part of the scarcest length used up, rate of the weights.
-ROUNDS, PRICED, STEP, RATE = 1200, 256, 0.5, 3.0
-#: The program ends when the best configuration fills less than this part of a sequence.
+#: Rounds of multiplicative weights, lengths behind that get a configuration in one round, part of the scarcest length
+#: used up, rate of the weights.
+ROUNDS, CHOSEN, STEP, RATE = 100, 24, 0.5, 3.0
+#: Configurations are used whose lengths are worth this part of the best one at the first prices; without any, the
+#: program ends.
 FULL = 0.998
 
 Config = tuple[tuple[int, int], ...]
 
 
-def knapsack(lengths: np.ndarray, values: np.ndarray, most: np.ndarray, capacity: int) -> dict[int, int]:
-    """{index: how many}, of the highest total value within the capacity; at most `most` of each."""
-    items = []
-    for i, (size, value, m) in enumerate(zip(lengths.tolist(), values.tolist(), most.tolist())):
-        m, k = min(m, capacity // size), 1
-        while m > 0:
-            k = min(k, m)
-            items.append((i, k, k * size, k * value))
-            m, k = m - k, 2 * k
-    best, taken = np.zeros(capacity + 1), np.zeros((len(items), capacity + 1), bool)
-    for row, (_, _, size, value) in zip(taken, items):
-        with_it = best[:-size] + value
-        np.greater(with_it, best[size:], out=row[size:])
-        np.maximum(best[size:], with_it, out=best[size:])
-    at, found = int(best.argmax()), {}
-    for row, (i, k, size, _) in zip(taken[::-1], items[::-1]):
-        if row[at]:
-            found[i] = found.get(i, 0) + k
-            at -= size
-    return found
+def best_values(prices: np.ndarray) -> np.ndarray:
+    """Knapsack dynamic program over all lengths: the highest total price within each capacity. prices[s] is that of the
+    length s, 0 where there is none; a length may be taken any number of times."""
+    capacity = len(prices) - 1
+    # best[c] lies at capacity - c, so that all candidates of a capacity are one contiguous sum
+    best, sums = np.zeros(capacity + 1), np.empty(capacity)
+    for c in range(1, capacity + 1):
+        best[capacity - c] = np.add(best[capacity - c + 1 :], prices[1 : c + 1], out=sums[:c]).max()
+    return best[::-1]
+
+
+def configuration(best: np.ndarray, prices: np.ndarray, most: np.ndarray, first: int = 0) -> dict[int, int]:
+    """{length: how many} that reaches the best value, traced back from the dynamic program; with `first`, the best of
+    those that hold that length. At most most[s] of a length are taken, the next best instead."""
+    room, taken, allowed = len(best) - 1, {}, most > 0
+    size = first
+    while room > 0:
+        if not size:
+            value = np.where(allowed[1 : room + 1], best[room - 1 :: -1][:room] + prices[1 : room + 1], -1.0)
+            size = room - int(value[::-1].argmax())  # of equal values the longest
+            if value[size - 1] <= 0:
+                break
+        taken[size] = taken.get(size, 0) + 1
+        if taken[size] >= most[size]:
+            allowed[size] = False
+        room, size = room - size, 0
+    return taken
+
+
+def starting_dual(demand: np.ndarray) -> np.ndarray:
+    """Prices of the lengths of which no sequence can hold more than 1, by the best of three kinds of dual-feasible
+    functions: the size itself; the size, but 1 for what leaves less than t of a sequence and 0 below t; and the size
+    rounded down to a multiple of 1 / k after multiplication by k + 1."""
+    capacity = len(demand) - 1
+    size = np.arange(capacity + 1)
+    tried = [size / capacity]
+    tried += [np.where(size > capacity - t, 1.0, np.where(size < t, 0.0, size / capacity)) for t in np.unique(np.linspace(1, capacity // 2, min(256, max(1, capacity // 2)), dtype=int))]
+    tried += [np.where((k + 1) * size % capacity == 0, size / capacity, (k + 1) * size // capacity / k) for k in range(1, 33)]
+    return max(tried, key=lambda y: float((demand * y).sum()))
+
+
+@dataclass
+class Program:
+    """used: fractional use of configurations ((length, how many), ...), never more than the demand. bound: no packing
+    needs fewer sequences than this, the best dual value of the linear program that was met."""
+
+    used: dict[Config, float]
+    bound: float
+    rounds: int
+
+
+def solve(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> Program:
+    """Multiplicative weights for the covering program: minimise the number of sequences such that every length's demand
+    is covered. The weights start from the best of some known dual solutions; that of a length falls exponentially with
+    the part of its demand that is covered, and weight over demand is its price. The dynamic program gives the configuration of the highest
+    price over all lengths. Prices divided by that value are a solution of the dual program, which bounds the optimum.
+
+    One dynamic program serves several configurations: the best one, and the best with each of the lengths that are
+    covered least. Each is used for a part of what its scarcest length has left.
+    """
+    demand = np.zeros(capacity + 1)
+    demand[list(histogram)] = list(histogram.values())
+    left, used, size = demand.copy(), {}, np.arange(capacity + 1)
+    first_prices = starting_dual(demand)
+    bound = float((demand * first_prices).sum())
+    # whole numbers, so that equal prices stay equal; of equal ones, what fills more
+    first_prices = np.where(demand > 0, np.rint(1000 * capacity * first_prices) + size, 0.0)
+    enough = FULL * best_values(first_prices)[-1]
+    fair = np.ceil(2 * demand * capacity / max(1.0, float((size * demand).sum()))) + 1  # twice its part of one sequence
+    for done in range(rounds):
+        live = left >= 1
+        if not live.any():
+            break
+        covered = 1 - left / np.maximum(demand, 1)
+        prices = np.where(live, first_prices * np.exp(-RATE * covered), 0.0)
+        best = best_values(prices)
+        bound = max(bound, float((demand * prices).sum()) / best[-1])
+        behind = np.flatnonzero(live)[np.argsort(covered[live], kind="stable")[:CHOSEN]]
+        full = False
+        for first in [0, *behind.tolist()]:
+            most = np.minimum(fair, np.floor(left))
+            if first and most[first] < 1:
+                continue
+            config = configuration(best, prices, most, first)
+            if sum(first_prices[s] * k for s, k in config.items()) < enough:
+                continue
+            full = True
+            which, counts = np.array(list(config)), np.array(list(config.values()), float)
+            use = max(1.0, STEP * float((left[which] / counts).min()))
+            key = tuple(sorted(config.items(), reverse=True))
+            used[key] = used.get(key, 0.0) + use
+            left[which] -= use * counts
+        if not full:
+            break
+    return Program(used, bound, done)
 
 
 def configuration_program(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS) -> dict[Config, float]:
-    """Fractional use of configurations ((length, how many), ...) that covers almost all of the demand, and never more."""
-    lengths = np.array(sorted(histogram), np.int64)
-    demand = np.array([histogram[x] for x in lengths.tolist()], float)
-    left, used = demand.copy(), {}
-    sequences = max(1.0, float((lengths * demand).sum()) / capacity)
-    fair = 1 + np.ceil(2 * demand / sequences)
-    for _ in range(rounds):
-        live = np.flatnonzero(left >= 2)
-        if not len(live):
-            break
-        covered = 1 - left[live] / demand[live]
-        behind = live[np.argsort(covered, kind="stable")[: 3 * PRICED // 4]]
-        live = np.union1d(behind, live[:: max(1, 4 * len(live) // PRICED)])  # and some of every size, to fill with
-        weight = np.exp(-RATE * (1 - left[live] / demand[live]))
-        most = np.minimum(fair[live], np.floor(left[live])).astype(np.int64)
-        chosen = knapsack(lengths[live], lengths[live] * weight, most, capacity)
-        if sum(int(lengths[live[i]]) * k for i, k in chosen.items()) < FULL * capacity:
-            break
-        which, counts = live[list(chosen)], np.array(list(chosen.values()), float)
-        use = max(1.0, STEP * float((left[which] / counts).min()))
-        config = tuple(sorted(zip(lengths[which].tolist(), map(int, counts)), reverse=True))
-        used[config] = used.get(config, 0.0) + use
-        left[which] -= use * counts
-    return used
+    return solve(histogram, capacity, rounds).used
 
 
 def round_and_finish(histogram: dict[int, int], used: dict[Config, float], capacity: int) -> list[tuple[Config, int]]:
