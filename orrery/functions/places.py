@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .text import fold, strip
@@ -88,11 +88,25 @@ def normalise(precisions: Column, aerodrome: Column, sites: tuple[Site, ...] = S
     return out.otherwise(F.struct(*[F.lit(None).alias(n) for n in ("aerodrome", "aerodrome_code", "runway_raw", "runway_current")], F.lit(False).alias("runway_renamed"), *[F.lit(None).alias(n) for n in ("strips", "stand")], zone.alias("zone"), F.lit(None).alias("anomaly")).cast(kind))
 
 
-def runways_asked(question: Column, site: Site = SITES[0]) -> Column:
-    """Designators of a question, an axis (17L/35R) before a single one."""
+def runways_asked(question: Column, site: Site = SITES[0], bare: Site = SITES[1]) -> Column:
+    """Today's names of the runways that a question speaks of, each once, in their order: lettered ones of `site`
+    (former names lead to today's, unknown ones are left out); without any, those of `bare`, an axis (16/34) before
+    a single one."""
     text = F.upper(F.coalesce(question, F.lit("")))
-    axis = F.regexp_extract(text, r"(?<![0-9A-Z_])0?([0-9]{2} *[LR]? */ *0?[0-9]{2} *[LR]?)(?![0-9A-Z_])", 1)
-    return F.when(axis != "", F.transform(F.split(F.regexp_replace(axis, " ", ""), "/"), _no_zero)).otherwise(designators(text, site))
+    found = F.regexp_extract_all(text, F.lit(r"(?<![0-9A-Z_])0?([0-9]{2}\s*[LR])(?![0-9A-Z_])"), F.lit(1))
+    table = F.create_map(*[F.lit(x) for kv in site.renamed.items() for x in kv])
+    now = F.transform(found, lambda x: F.coalesce(F.try_element_at(table, F.regexp_replace(x, r"\s", "")), F.regexp_replace(x, r"\s", "")))
+    lettered = F.filter(F.array_distinct(now), lambda x: x.isin(*site.runways))
+    a, b = bare.strips[0]
+    axis = rf"(?<![0-9A-Z_]){a}\s*/\s*{b}(?![0-9A-Z_])"
+    single = F.array_distinct(F.regexp_extract_all(text, F.lit(rf"(?<![0-9A-Z_])PISTES?\s+({a}|{b})(?![0-9A-Z_])"), F.lit(1)))
+    return F.when(F.size(lettered) > 0, lettered).when(text.rlike(axis), _lit_array((a, b))).otherwise(single)
+
+
+def renamed_counts(rows: DataFrame, place: str) -> DataFrame:
+    """rows with a normalised place: (former, n) for every former designator that a row was entered under."""
+    raw = F.explode(F.array_distinct(F.array_except(f"{place}.runway_raw", f"{place}.runway_current")))
+    return rows.filter(F.col(f"{place}.runway_renamed")).select(raw.alias("former")).groupBy("former").agg(F.count(F.lit(1)).alias("n"))
 
 
 def first_runway_or_stand(a: Column, b: Column) -> tuple[Column, Column]:

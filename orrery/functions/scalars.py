@@ -100,11 +100,20 @@ def hash_order(*keys: Column, seed: int = 0) -> Column:
     return F.xxhash64(*keys, F.lit(seed))
 
 
+def repaired_escapes(c: Column) -> Column:
+    """JSON text with every backslash doubled that begins no valid escape (\\u needs four hex digits). Valid escapes are
+    taken from left to right, so both halves of a doubled backslash stay as they are."""
+    # valid escapes step aside behind control characters, which JSON text can't hold: a pair as 1 2, others as 1 x 2
+    out = F.regexp_replace(c, r'\\(?:\\|(["/bfnrt]|u[0-9A-Fa-f]{4}))', "\u0001$1\u0002")
+    for a, b in (("\\", "\\\\"), ("\u0001\u0002", "\\\\"), ("\u0001", "\\"), ("\u0002", "")):
+        out = F.replace(out, F.lit(a), F.lit(b))
+    return out
+
+
 def tolerant_json(c: Column) -> Column:
     """Text of JSON as VARIANT: as it is, else the first {...} in it, else with lone backslashes doubled; else null."""
     inner = F.regexp_extract(c, r"(?s)(\{.*\})", 1)
-    fixed = F.regexp_replace(inner, r'\\(?!["\\/bfnrtu])', r"\\\\")
-    return F.coalesce(F.try_parse_json(c), F.try_parse_json(inner), F.try_parse_json(fixed))
+    return F.coalesce(F.try_parse_json(c), F.try_parse_json(inner), F.try_parse_json(repaired_escapes(inner)))
 
 
 def enum_or(c: Column, allowed: Sequence[str], default: str) -> Column:
@@ -112,5 +121,15 @@ def enum_or(c: Column, allowed: Sequence[str], default: str) -> Column:
 
 
 def extras(names: Sequence[str], **columns: Column) -> Column:
-    """Map of the named columns that are not null; structures as JSON."""
+    """Map of the named columns that are not null, as text. Structures are given as JSON: F.to_json(column)."""
     return F.map_filter(F.map_from_arrays(F.array(*[F.lit(f"extra_{n}") for n in names]), F.array(*[columns[n].cast("string") for n in names])), lambda k, v: v.isNotNull())
+
+
+def whole_numbers(items: Column) -> Column:
+    """The items of a list of texts that are whole numbers."""
+    return F.filter(F.transform(items, lambda x: F.when(x.rlike(r"^\s*[+-]?[0-9]+\s*$"), strip(x).try_cast("long"))), lambda x: x.isNotNull())
+
+
+def code_meanings(entries: Column, joiner: str = " — ") -> Column:
+    """A map of codes as a sorted list of `code — meaning`."""
+    return F.sort_array(F.transform(F.map_entries(entries), lambda e: F.concat(e["key"], F.lit(joiner), e["value"])))

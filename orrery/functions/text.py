@@ -95,7 +95,7 @@ def identifiers(c: Column, pattern: str, group: int = 0) -> Column:
 
 def claimed_numbers(c: Column, units: str) -> Column:
     """Numbers that stand before one of the units."""
-    found = F.regexp_extract_all(c, F.lit(rf"(?i)(?:^|[^0-9A-Za-z])([0-9][0-9  ]{{0,9}}) *(?:{units})(?:[^0-9A-Za-z]|$)"), F.lit(1))
+    found = F.regexp_extract_all(c, F.lit(rf"(?iu)(?:^|[^0-9A-Za-z])([0-9][0-9  ]{{0,9}}) *(?:{units})(?:[^0-9A-Za-z]|$)"), F.lit(1))
     return F.transform(found, lambda x: F.regexp_replace(x, r"[^0-9]", "").cast("long"))
 
 
@@ -105,10 +105,13 @@ def overlap(need: Column, text: Column) -> Column:
     return F.when(F.size(words) > 0, F.size(F.filter(words, lambda w: text.contains(w))) / F.size(words)).otherwise(0.0)
 
 
-def excerpt(c: Column, needle: Column, around: int = 70) -> Column:
+def excerpt(c: Column, needle: Column, around: int = 70, mark: str = "") -> Column:
+    """The first occurrence with `around` characters on either side, white space collapsed; `mark` where text is left out."""
     at = F.position(needle, c)
     start = F.greatest(at - around, F.lit(1))
-    return F.when(at > 0, F.substring(c, start, at + F.length(needle) + around - start))
+    end = F.least(at + F.length(needle) + around, F.length(c) + 1)
+    inside = collapse(F.substring(c, start, end - start))
+    return F.when(at > 0, F.concat(F.when(start > 1, mark).otherwise(""), inside, F.when(end <= F.length(c), mark).otherwise("")))
 
 
 def acronyms(c: Column) -> Column:
@@ -117,13 +120,30 @@ def acronyms(c: Column) -> Column:
     return F.regexp_extract_all(compact, F.lit(r"(?:^|[^0-9A-Za-z_])([A-Z][A-Z0-9]{1,7})(?=[^0-9A-Za-z_]|$)"), F.lit(1))
 
 
+def acronym_forms(c: Column, lower: Sequence[str] = ()) -> Column:
+    """Structs (acronym, seen) of a text: dotted forms (F.O.D, compact FOD), acronyms of 2 to 8 capitals and digits, and
+    words of `lower` in any case (as capitals). None is part of a longer word."""
+    alone = lambda p: F.lit(rf"(?<![\p{{L}}\p{{N}}_])(?:{p})(?![\p{{L}}\p{{N}}_])")
+    of = lambda p, key: F.transform(F.regexp_extract_all(c, alone(p), F.lit(0)), lambda x: F.struct(key(x).alias("acronym"), x.alias("seen")))
+    found = [of(r"(?:[A-Z]\.){2,}[A-Z]?", lambda x: F.replace(x, F.lit("."), F.lit(""))), of("[A-Z][A-Z0-9]{1,7}", lambda x: x)]
+    if lower:
+        found.append(of(f"(?i:{'|'.join(lower)})", F.upper))
+    return F.concat(*found)
+
+
+def pseudonyms(names: list[str], prefix: str = "Agent_") -> dict[str, str]:
+    """Stable pseudonyms: the different names in their order, numbered."""
+    return {n: f"{prefix}{i:03d}" for i, n in enumerate(sorted(set(names)), 1)}
+
+
 def scrub(c: Column, names: dict[str, str] | None = None) -> Column:
-    """E-mail addresses and French phone numbers out, known names by their pseudonyms."""
-    out = F.regexp_replace(c, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "[email]")
-    out = F.regexp_replace(out, r"(?:\+33 ?|0)[1-9](?:[ .-]?[0-9]{2}){4}", "[tel]")
-    for name, by in sorted((names or {}).items(), key=lambda x: -len(x[0])):
-        out = F.replace(out, F.lit(name), F.lit(by))
-    return out
+    """Known names by their pseudonyms, in any case, the longest first; then e-mail addresses and French phone numbers
+    out, the latter only where no letter or digit touches them."""
+    out = c
+    for name, by in sorted((names or {}).items(), key=lambda x: (-len(x[0]), x[0])):
+        out = F.regexp_replace(out, r"(?iu)\Q" + name.replace(r"\E", r"\E\\E\Q") + r"\E", by)
+    out = F.regexp_replace(out, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "[email]")
+    return F.regexp_replace(out, r"(?<![0-9A-Za-z_])(?:\+33 ?|0)[1-9](?:[\s.-]?[0-9]{2}){4}(?![0-9A-Za-z_])", "[tel]")
 
 
 def denoise(c: Column) -> Column:
@@ -132,10 +152,43 @@ def denoise(c: Column) -> Column:
     return collapse(F.regexp_replace(out, r"(?m)^ *[A-Z]{2,4} *:? *$", ""))
 
 
-def summary_fault(c: Column, least: int = 30) -> Column:
-    """Why a generated summary is not usable, or null."""
+#: Phrases of refusal or of an echoed instruction, phrases that fill a summary, other scripts.
+REFUSALS = ("je ne peux", "je suis désolé", "désolé,", "en tant qu'ia", "en tant que modèle", "je suis un assistant", "veuillez fournir", "pouvez-vous fournir", "résumé :", "voici un résumé", "voici le résumé")
+FILLERS = ("des mesures correctives ont été prises", "des mesures ont été prises", "les causes exactes n'ont pas été", "les causes n'ont pas été précisées", "aucune information supplémentaire")
+OTHER_SCRIPTS = "[\u0400-\u04ff\u0600-\u06ff\u4e00-\u9fff\u3040-\u30ff\uac00-\ud7af]"
+
+
+def summary_fault(c: Column, least: int = 30, short: int = 120) -> Column:
+    """Why a generated summary is not usable, or null: too short, a refusal, another script, or filler, which is two
+    filling phrases, or one in a text of fewer than `short` characters."""
     s = F.coalesce(strip(c), F.lit(""))
-    return F.when(F.length(s) < least, "too short").when(s.rlike(r"(?i)je ne peux pas|i cannot|impossible de r.sumer"), "refusal").when(s.rlike(r"[Ѐ-ӿ一-鿿؀-ۿ]"), "script").when(s.rlike(r"(?i)^(voici|here is|r.sum. ?:)"), "filler")
+    low = F.lower(s)
+    times = sum(((F.length(low) - F.length(F.replace(low, F.lit(p), F.lit("")))) / len(p) for p in FILLERS), F.lit(0))
+    refused = F.exists(F.array(*[F.lit(p) for p in REFUSALS]), lambda p: low.contains(p))
+    return F.when(F.length(s) < least, "too short").when(refused, "refusal").when(s.rlike(OTHER_SCRIPTS), "script").when((times >= 2) | ((F.length(s) < short) & (times > 0)), "filler")
+
+
+def trailing_noise(c: Column) -> Column:
+    """Without question marks and white space at the end."""
+    return F.regexp_replace(c, r"[\s?]+$", "")
+
+
+def person_key(c: Column) -> Column:
+    return F.lower(strip(c))
+
+
+def any_contains(columns: Sequence[Column], terms: Sequence[str]) -> Column:
+    """Whether any of the fields holds any of the terms; null fields hold none."""
+    out = F.lit(False)
+    for c in columns:
+        for t in terms:
+            out = out | F.coalesce(c.contains(t), F.lit(False))
+    return out
+
+
+def joined_length(columns: Sequence[Column]) -> Column:
+    """Length of all fields together; null counts as empty."""
+    return F.length(F.concat_ws("", *columns))
 
 
 def identifier(c: Column) -> Column:

@@ -51,6 +51,58 @@ def segments(df: DataFrame, lines: Column, budget: int, prefix: Column | None =
     return out.withColumn("kind", F.when(F.col("segment") == 0, "sheet").otherwise("long narrative")).withColumn("text", text).drop("_body")
 
 
+def situation(identity: Column, metadata: list[Column], factors: Column, situation_lines: list[Column]) -> Column:
+    """The document of what happened alone: no causes, no actions."""
+    return document(identity, metadata, factors, situation_lines)
+
+
+def labelled(label: str, c: Column) -> Column:
+    return F.when(present(c).isNotNull(), F.concat(F.lit(f"{label} : "), present(c)))
+
+
+def causes_text(causes: dict[str, Column]) -> Column:
+    """`Causes : axis — text ; …`, null without any."""
+    parts = F.concat_ws(" ; ", *[F.when(present(c).isNotNull(), F.concat(F.lit(f"{axis} — "), present(c))) for axis, c in causes.items()])
+    return F.when(parts != "", F.concat(F.lit("Causes : "), parts))
+
+
+def actions_text(immediate: Column, titles: Column) -> Column:
+    """The immediate action's line and that of the actions taken, null without either."""
+    taken = F.when(F.size(titles) > 0, F.concat(F.lit("Actions engagées : "), F.array_join(titles, " ; ")))
+    return F.nullif(F.concat_ws("\n", labelled("Action immédiate", immediate), taken), F.lit(""))
+
+
+def chunks(df: DataFrame, key: str, identity: Column, metadata: Column, factors: Column, narrative: Column, causes: Column, actions: Column, floor: int = 40, budget: int = 1800) -> DataFrame:
+    """(key, chunk, kind, text) of a record: the sheet, its overflow under the metadata line (the identity without any),
+    then a chunk of its causes and one of its actions. Below `floor` characters there is no sheet."""
+    head = F.concat_ws("\n", present(identity), present(metadata), present(factors))
+    lines = F.filter(narrative, lambda x: x.isNotNull() & (x != ""))
+    whole = F.concat_ws("\n", head, F.nullif(F.array_join(lines, "\n"), F.lit("")))
+    prefix = F.coalesce(present(metadata), present(identity), F.lit(""))
+    packed = pack_lines(cut_lines(lines, budget // 2), budget // 2)
+    parts = F.transform(packed, lambda x, i: F.struct(F.when(i == 0, "sheet").otherwise("long narrative").alias("kind"), F.concat_ws("\n", F.when(i == 0, head).otherwise(prefix), x).alias("text")))
+    kind = "array<struct<kind:string,text:string>>"
+    sheet = F.when(F.length(whole) < floor, F.array().cast(kind)).when(F.length(whole) <= budget, F.array(F.struct(F.lit("sheet").alias("kind"), whole.alias("text"))).cast(kind)).otherwise(parts.cast(kind))
+    own = F.filter(F.array(F.struct(F.lit("cause").alias("kind"), causes.alias("text")), F.struct(F.lit("action").alias("kind"), actions.alias("text"))).cast(kind), lambda x: x["text"].isNotNull())
+    return df.select(key, F.posexplode(F.concat(sheet, own)).alias("chunk", "x")).select(key, "chunk", "x.kind", "x.text")
+
+
+def text_variants(narrative: Column, metadata: list[tuple[str, Column]], wide: list[tuple[str, Column]], summary: Column) -> dict[str, Column]:
+    """Texts to compare: A the narrative, B with labelled metadata before it, C with their values alone, D with those of
+    the wide list, E as D with the summary behind."""
+    line = lambda parts, name: F.nullif(F.concat_ws(" | ", *[F.when(present(c).isNotNull(), F.concat(F.lit(f"{n}: "), present(c)) if name else present(c)) for n, c in parts]), F.lit(""))
+    n = present(narrative)
+    text = lambda first: F.coalesce(F.nullif(F.concat_ws("\n", first, n), F.lit("")), F.lit(""))
+    d = text(line(wide, False))
+    return {"A": F.coalesce(n, F.lit("")), "B": text(line(metadata, True)), "C": text(line(metadata, False)), "D": d, "E": F.concat_ws("\n", F.nullif(d, F.lit("")), present(summary))}
+
+
+def field_chunks(df: DataFrame, key: str, fields: list[tuple[str, Column, int]], gated: tuple[str, ...] = (), empty: tuple[str, ...] = ()) -> DataFrame:
+    """(key, field, text): one chunk per field of at least its length; the gated fields also must not say "nothing"."""
+    items = [F.struct(F.lit(n).alias("field"), F.when((F.length(present(c)) >= least) & (~F.lower(present(c)).isin(*empty) if n in gated and empty else F.lit(True)), present(c)).alias("text")) for n, c, least in fields]
+    return df.select(key, F.inline(F.array(*items))).filter("text is not null")
+
+
 def merge_short(pieces: Column, least: int = 25, joiner: str = "\n") -> Column:
     """Pieces shorter than `least` join the one before; a leading short piece stands alone."""
     start = F.array().cast("array<string>")
@@ -82,19 +134,28 @@ def continued(rows: DataFrame, key: list[str], order: str, label: Column, field:
     return known.groupBy(*key, "field").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(order, "_v"))), lambda x: x["_v"]), "\n\n").alias("value"))
 
 
-def after_tables(text: Column, least: int = 100) -> Column:
-    """What follows the last table; null if shorter."""
-    tail = strip(F.regexp_replace(text, r"(?s)^.*\n\s*\|[^\n]*(?:\n|$)", ""))
-    return F.when(text.rlike(r"(?m)^\s*\|") & (F.length(tail) >= least), tail)
+#: How a bulletin states its version and the bulletins that it replaces.
+VERSION = r"(?iU)Version\s+n\s*[°ºo]?\s*(\d+)\s+du\s+([\d/\s\w]+?\d{4})"
+REPLACES = r"(?iU)(?:annule\s+et\s+)?remplace\s+(?:l['\u2019]?)?(?:IS|info\s+s[ée]curit[ée]\s+n[°º]?)\s*(\d{4}[\s/-]+\d{1,2})"
+
+
+def after_tables(text: Column, least: int = 100, boilerplate: str | None = None) -> Column:
+    """What follows the last line that begins and ends with a pipe, without `boilerplate` (a pattern, over lines) and
+    the version footer; null without a table or if what is left is shorter than `least`."""
+    table = r"(?m)^\|(?:[^\n]*\|)?$"
+    tail = strip(F.element_at(F.split(text, table), -1))
+    if boilerplate:
+        tail = F.regexp_replace(tail, f"(?s){boilerplate}", "")
+    tail = strip(F.regexp_replace(tail, VERSION, ""))
+    return F.when(text.rlike(table) & (F.length(tail) >= least), tail)
 
 
 def version_footer(text: Column) -> tuple[Column, Column]:
     """Version number and its date's text."""
-    p = r"(?iU)version\s*(?:n°)?\s*([0-9]+)\s*(?:du|-)\s*([0-9]{1,2}(?:er)?\s*(?:/|\s)\s*\w+\s*(?:/|\s)\s*[0-9]{4})"
-    return F.nullif(F.regexp_extract(text, p, 1), F.lit("")).cast("int"), F.nullif(F.regexp_extract(text, p, 2), F.lit(""))
+    return F.nullif(F.regexp_extract(text, VERSION, 1), F.lit("")).cast("int"), F.nullif(F.regexp_extract(text, VERSION, 2), F.lit(""))
 
 
 def replaced(text: Column) -> Column:
-    """Bulletins that a text says it replaces: year/number with two digits."""
-    found = F.regexp_extract_all(text, F.lit(r"(?i)remplace[^0-9]{0,40}([0-9]{4}/[0-9]{1,2})"), F.lit(1))
-    return F.array_distinct(F.transform(found, lambda x: F.concat(F.substring_index(x, "/", 1), F.lit("/"), F.lpad(F.substring_index(x, "/", -1), 2, "0"))))
+    """Bulletins that a text says it replaces, in their order: year/number with two digits."""
+    found = F.regexp_extract_all(text, F.lit(REPLACES), F.lit(1))
+    return F.transform(found, lambda x: F.concat(F.left(x, F.lit(4)), F.lit("/"), F.lpad(F.regexp_extract(x, "([0-9]+)$", 1), 2, "0")))

@@ -29,9 +29,10 @@ def bpref_rbp(results: DataFrame, truth: DataFrame, p: float = 0.8, query: str =
     return known.groupBy(query).agg(F.round(F.sum(gain) / F.first("n_relevant"), digits).alias("bpref"), F.round(low, digits).alias("rbp_low"), F.round(low + rest, digits).alias("rbp_high"))
 
 
-def corrected_precision(precision: Column, confirmed: Column, judged: Column) -> Column:
-    """Precision with the share of judged negatives that turned out relevant added back."""
-    return precision + (1 - precision) * F.when(judged > 0, confirmed / judged).otherwise(0.0)
+def corrected_precision(precision: Column, missed: Column, k: int, uncertain: Column) -> Column:
+    """Precision corrected by a judged sample. missed: share of the judged uncertain rows that are relevant after all;
+    uncertain: mean number of uncertain rows in the top k."""
+    return precision + missed * uncertain / k
 
 
 def proportions(rows: DataFrame, by: list[str], hit: Column, digits: int = 9) -> DataFrame:
@@ -40,20 +41,26 @@ def proportions(rows: DataFrame, by: list[str], hit: Column, digits: int = 9) ->
     return g.select(*by, "n", "hits", F.round(F.col("hits") / F.col("n"), digits).alias("rate"), F.round(low, digits).alias("low"), F.round(high, digits).alias("high"))
 
 
-def bootstrap(values: DataFrame, value: str, resamples: int = 1000, seed: int = 20260804) -> DataFrame:
+def bootstrap(values: DataFrame, value: str, resamples: int = 4000, seed: int = 20260804, linear: bool = True) -> DataFrame:
     """Interval of the mean by a Poisson bootstrap whose weights come from a hash of (row, resample): each row is weighed
     where it lies, so that no row has to be fetched by number, and reruns agree. For paired runs give the differences.
 
-    values: (id, value). One row: mean, low, high (2.5 and 97.5 percentiles), verdict by the interval's sign.
+    values: (id, value). One row: mean, low, high (2.5 and 97.5 percentiles), verdict by the interval's sign. linear:
+    percentiles between two resamples; else those at int(part * resamples) of the sorted list, one short number each.
+    Resamples in which every weight is 0 don't count.
     """
     u = (F.pmod(F.xxhash64("id", F.col("b"), F.lit(seed)), F.lit(1 << 30)) + 0.5) / float(1 << 30)
     weight, step, total = F.lit(0), 1.0, 0.0
-    for n in range(1, 9):  # chances of a Poisson variable of mean 1
+    for n in range(1, 17):  # chances of a Poisson variable of mean 1; beyond, below 1e-15
         total += 2.718281828459045**-1 * step
         weight, step = weight + (u > total).cast("int"), step / n
     draws = values.select("id", value, F.explode(F.sequence(F.lit(1), F.lit(resamples))).alias("b")).withColumn("w", weight)
-    means = draws.groupBy("b").agg((F.sum(F.col("w") * F.col(value)) / F.sum("w")).alias("m"))
-    ends = means.agg(F.percentile("m", F.lit(0.025)).alias("low"), F.percentile("m", F.lit(0.975)).alias("high"))
+    means = draws.groupBy("b").agg(F.try_divide(F.sum(F.col("w") * F.col(value)), F.sum("w")).alias("m"))
+    if linear:
+        ends = means.agg(F.percentile("m", F.lit(0.025)).alias("low"), F.percentile("m", F.lit(0.975)).alias("high"))
+    else:
+        ranked = F.sort_array(F.collect_list("m"))  # `resamples` numbers
+        ends = means.agg(ranked.alias("s")).select(*[F.get("s", (F.size("s") * part).cast("int")).alias(n) for n, part in (("low", 0.025), ("high", 0.975))])
     verdict = F.when(F.col("low") > 0, "better").when(F.col("high") < 0, "worse").otherwise("equal")
     return values.agg(F.avg(value).alias("mean")).crossJoin(ends).withColumn("verdict", verdict)
 
@@ -66,8 +73,8 @@ def metrics_by(rows: DataFrame, levels: list[list[str]], metrics: list[str], dig
 
 def choose(variants: DataFrame) -> DataFrame:
     """variants (variant, recall, low_delta, homogeneity): the best recall, then, among those whose difference to it is
-    not clear (low_delta <= 0), the least homogeneous."""
-    return variants.filter(F.col("low_delta") <= 0).orderBy("homogeneity", F.desc("recall"), "variant").limit(1)
+    not clear (low_delta <= 0; the best has none of its own, null), the least homogeneous."""
+    return variants.filter(F.coalesce("low_delta", F.lit(0.0)) <= 0).orderBy("homogeneity", F.desc("recall"), "variant").limit(1)
 
 
 def rank_class(ranks: DataFrame, query: str, k: int = 10, depth: int = 50) -> DataFrame:
@@ -76,6 +83,38 @@ def rank_class(ranks: DataFrame, query: str, k: int = 10, depth: int = 50) -> Da
     return g.withColumn("class", F.when(F.col("first") <= k, f"top {k}").when(F.col("first") <= depth, "seen").otherwise("never seen"))
 
 
+def success_stats(measures: DataFrame, by: list[str], digits: int = 9) -> DataFrame:
+    """measures (by, precision, useful, abstained): per group the questions, mean precision, share with at least one
+    useful row, median of useful rows, abstentions, and the questions with none, and with 3 or more."""
+    u = F.col("useful")
+    return measures.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg("precision"), digits).alias("precision"), F.round(F.avg((u >= 1).cast("int")), digits).alias("success"), F.percentile("useful", F.lit(0.5)).alias("median_useful"),
+        F.count_if("abstained").alias("abstentions"), F.count_if(u == 0).alias("without"), F.count_if(u >= 3).alias("three_or_more"),
+    )
+
+
+def useful_histogram(measures: DataFrame, by: list[str]) -> DataFrame:
+    return measures.groupBy(*by, "useful").agg(F.count(F.lit(1)).alias("questions"))
+
+
+def multiplicity(chunks: DataFrame, retrieved: DataFrame, owner: str, digits: int = 9) -> DataFrame:
+    """Mean chunks per owner in the index and among those retrieved, and their ratio: how much owners with many chunks
+    are favoured. retrieved: one row per owner (or owner and question) that came back."""
+    n = chunks.groupBy(owner).agg(F.count(F.lit(1)).alias("_n"))
+    back = retrieved.select(owner).join(n, owner)
+    a, b = n.agg(F.avg("_n").alias("population")), back.agg(F.avg("_n").alias("retrieved"))
+    both = a.crossJoin(F.broadcast(b))  # one row each
+    return both.select(F.round("population", digits).alias("population"), F.round("retrieved", digits).alias("retrieved"), F.round(F.col("retrieved") / F.col("population"), digits).alias("bias"))
+
+
+def filter_gain(plain: DataFrame, filtered: DataFrame, k: int, query: str = "query_id", digits: int = 9) -> DataFrame:
+    """Two rankings (query, rank, relevant) of the same questions, without and with a filter: precision at k of both and
+    the difference, for the questions that have a filtered ranking."""
+    p = lambda d, name: d.groupBy(query).agg((F.sum(F.when(F.col("rank") <= k, F.col("relevant")).otherwise(0)) / k).alias(name))
+    j = p(filtered, "with_filter").join(p(plain, "without"), query)
+    return j.select(query, F.round("without", digits).alias("without"), F.round("with_filter", digits).alias("with_filter"), F.round(F.col("with_filter") - F.col("without"), digits).alias("gain"))
+
+
 def admissible(golden: Column, found: Column) -> Column:
     """A filter is kept only if it holds all of the golden ids and more."""
     missing, more = F.size(F.array_except(golden, found)), F.size(F.array_except(found, golden))

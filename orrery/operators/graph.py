@@ -50,6 +50,13 @@ def violations(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).count().filter("count > 1")
 
 
+def text_violations(rows: DataFrame, text: str) -> DataFrame:
+    """The same for a column of long texts: digests are shuffled instead, and one text of each repeated digest."""
+    d = rows.select(F.sha2(text, 256).alias("_d"), text)
+    many = d.groupBy("_d").count().filter("count > 1")
+    return d.join(many, "_d").groupBy("_d").agg(F.min(text).alias(text), F.first("count").alias("count")).drop("_d")
+
+
 def triplets(e: DataFrame, src_label: Column, dst_label: Column, n: int = 50) -> DataFrame:
     return e.groupBy(src_label.alias("src_label"), "rel", dst_label.alias("dst_label")).count().orderBy(F.desc("count"), "src_label", "rel", "dst_label").limit(n)
 
@@ -74,6 +81,36 @@ def hierarchy(rows: DataFrame, key: str, parent: str) -> DataFrame:
     return rows.join(p, F.col(parent) == F.col("_parent"), "left_semi").filter(F.col(key) != F.col(parent)).select(F.col(key).alias("child"), F.col(parent).alias("parent"))
 
 
+def title_hierarchy(rows: DataFrame, key: str, titles: list[str], parent_key: str | None = None) -> DataFrame:
+    """(child, parent) of rows that agree in all `titles` where the parent's key is the smaller one; titles are no keys,
+    so a child may have several parents."""
+    a, b = rows.alias("a"), rows.alias("b")
+    on = F.col(f"a.{key}") > F.col(f"b.{key}")
+    for t in titles:
+        on = on & (F.col(f"a.{t}") == F.col(f"b.{t}"))
+    return a.join(b, on).select(F.col(f"a.{key}").alias("child"), F.col(f"b.{key}").alias("parent"))
+
+
+def title_links(rows: DataFrame, key: str, title: str, targets: DataFrame, target_key: str, target_title: str) -> DataFrame:
+    """(key, target) of rows whose title is a target's, white space at the ends aside; blank titles link nothing."""
+    from ..functions.text import strip
+
+    a = rows.select(F.col(key).alias("key"), strip(F.col(title)).alias("_t")).filter("_t <> ''")
+    b = targets.select(F.col(target_key).alias("target"), strip(F.col(target_title)).alias("_t"))
+    return a.join(b, "_t").select("key", "target").distinct()
+
+
+def referenced(rows: DataFrame, key: str, by: DataFrame, by_key: str) -> DataFrame:
+    """Rows that at least one row of `by` names."""
+    return rows.join(by.select(F.col(by_key).alias("_named")), F.col(key) == F.col("_named"), "left_semi")
+
+
+def entity_edges(rows: DataFrame, key: str, entities: str = "entities") -> DataFrame:
+    """Edges of a projected table: one per row and linked node, (src, rel, dst) with dst as node:value."""
+    e = rows.select(F.col(key).cast("string").alias("src"), F.inline(entities))
+    return e.select("src", F.col("relation").alias("rel"), F.concat_ws(":", "node", "value").alias("dst")).filter("src is not null").distinct()
+
+
 def patch(rows: DataFrame, values: DataFrame, key: str, columns: list[str], purge: Column | None = None) -> DataFrame:
     """Adds or replaces columns where values has the key; where `purge` holds they are removed."""
     out = rows.join(values.select(key, *[F.col(c).alias(f"_new_{c}") for c in columns]), key, "left")

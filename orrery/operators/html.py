@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -82,18 +84,55 @@ def _pack(found: list[tuple[str, str, str | None]], budget: int, least: int) ->
     return out
 
 
+#: Classes of the spans that head an entry of a thread (author's initials, date) and the attribute with
+#: the author's full name.
+AUTHOR, DATE, FULL_NAME = "bold", "libelle_auteur_maj", "data-tippy-content"
+_HEADER = re.compile(rf'<span class="{AUTHOR}"(?P<more>[^>]*)>(?P<initials>[^<]*)</span>\s*<span class="{DATE}">(?P<date>[^<]*)</span>', re.I)
+_NAME = re.compile(rf'{FULL_NAME}="([^"]*)"', re.I)
+
+
+def entries(html: str) -> list[tuple[str | None, str | None, str]]:
+    """(author, date, HTML) of each entry of a thread; what stands before the first header has neither. Without any
+    header there are none."""
+    found = list(_HEADER.finditer(html))
+    out: list[tuple[str | None, str | None, str]] = [(None, None, html[: found[0].start()])] if found else []
+    for h, after in zip(found, [*found[1:], None]):
+        name = _NAME.search(h["more"])
+        author = (unescape(name[1]).strip() if name else "") or unescape(h["initials"]).strip()
+        out.append((author or None, h["date"].strip() or None, html[h.end() : after.start() if after else len(html)]))
+    return out
+
+
+def chunk_field(html: str | None, budget: int = 1500, least: int = 25) -> list[tuple[str, str, str | None, str | None, str | None]]:
+    """(kind, text, heading, author, date): a thread's entries, short pieces joining the chunk before, else blocks, of
+    which headings go with those after them."""
+    out: list[list] = []
+    for author, date, part in entries(html or ""):
+        for _, piece, _ in _pack([("entry", to_text(part), None)], budget, 0):
+            if len(piece) < least and out:
+                out[-1][1] += "\n" + piece
+            elif piece:
+                out.append(["thread entry", piece, None, author, date])
+    if out:
+        return [tuple(x) for x in out]
+    found = blocks(html)
+    body = [b for b in found if not (b[0].startswith("h") and b[0][1:].isdigit())] or found  # headings alone stay
+    return [(k, t, h, None, None) for k, t, h in _pack(body, budget, least)]
+
+
 def chunks(df: DataFrame, html: str, key: str, budget: int = 1500, least: int = 25) -> DataFrame:
-    """(key, chunk from 0, kind, heading, text) of every page; headings go with the blocks after them."""
+    """(key, chunk from 0, kind, heading, author, date, text) of every field."""
+    names = ("kind", "text", "heading", "author", "date")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, x in enumerate(b.column(html)):
-                parts = _pack(blocks(x.as_py()), budget, least)
+                parts = chunk_field(x.as_py(), budget, least)
                 if parts:
-                    kind, text, heading = zip(*parts)
-                    yield pa.RecordBatch.from_arrays([b.column(key).take(pa.array([i] * len(parts))), pa.array(range(len(parts)), pa.int32()), pa.array(kind, pa.string()), pa.array(heading, pa.string()), pa.array(text, pa.string())], names=[key, "chunk", "kind", "heading", "text"])
+                    columns = dict(zip(names, zip(*parts)))
+                    yield pa.RecordBatch.from_arrays([b.column(key).take(pa.array([i] * len(parts))), pa.array(range(len(parts)), pa.int32()), *[pa.array(columns[n], pa.string()) for n in ("kind", "heading", "author", "date", "text")]], names=[key, "chunk", "kind", "heading", "author", "date", "text"])
 
-    return arrow_map(df.select(key, html), run, f"{key} {df.schema[key].dataType.simpleString()}, chunk int, kind string, heading string, text string")
+    return arrow_map(df.select(key, html), run, f"{key} {df.schema[key].dataType.simpleString()}, chunk int, kind string, heading string, author string, date string, text string")
 
 
 def plain_text(df: DataFrame, html: str, out: str = "text") -> DataFrame:

@@ -1,7 +1,7 @@
 """Filtered cosine search with distinct owners, and vector statistics.
 
-Queries are a stated set; the corpus is read once and never cross-joined row by row with itself. A query set of at most
-`few` rows is broadcast; a larger one must be searched in blocks by the caller.
+Queries are a stated set; the corpus is never cross-joined row by row with itself. A query set of at most `few` rows is
+broadcast; a larger one is dealt into blocks of about that many, and every block meets every partition of the corpus.
 """
 
 from __future__ import annotations
@@ -22,11 +22,17 @@ def keep_rows(must: Column | None = None, must_not: Column | None = None) -> Col
     return out
 
 
+def against(rows: DataFrame, queries: DataFrame, few: int = 1000) -> DataFrame:
+    """Every row with every query of a stated set, in blocks of about `few` queries."""
+    n = queries.count()
+    if n <= few:
+        return rows.crossJoin(F.broadcast(queries))
+    return rows.crossJoin(queries.repartition(-(-n // few)).hint("shuffle_replicate_nl"))
+
+
 def scores(queries: DataFrame, corpus: DataFrame, few: int = 1000) -> DataFrame:
     """queries (query_id, q), corpus (id, owner, embedding): all pairs of a query and a row with their cosine."""
-    if queries.limit(few + 1).count() > few:
-        raise ValueError(f"more than {few} queries: search in blocks")
-    return corpus.crossJoin(F.broadcast(queries)).withColumn("score", _cosine_columns("q", "embedding")).drop("q", "embedding")
+    return against(corpus, queries, few).withColumn("score", _cosine_columns("q", "embedding")).drop("q", "embedding")
 
 
 def _cosine_columns(a: str, b: str) -> Column:
@@ -48,6 +54,33 @@ def top_rows(scored: DataFrame, k: int, digits: int = 9) -> DataFrame:
     return scored.withColumn("score", F.round("score", digits)).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
+def judged(scored: DataFrame, relevant: Column, k: int, digits: int = 9) -> tuple[DataFrame, DataFrame]:
+    """(rows, truth) for the metrics: rows are the k best of each query with their rank and relevant (0 or 1), and, where
+    it lies deeper, the first relevant row; truth has n_relevant per query.
+
+    The first relevant row's rank is 1 + the number of better rows, an aggregate, so that no query's rows are sorted as
+    a whole; the k best are cut in every partition before the shuffle.
+    """
+    s = scored.withColumn("relevant", relevant.cast("int")).withColumn("score", F.round("score", digits))
+    truth = s.groupBy("query_id").agg(F.sum("relevant").alias("n_relevant"))
+    best = s.filter("relevant = 1").groupBy("query_id").agg(F.min(F.struct((-F.col("score")).alias("s"), "id")).alias("_b"))
+    better = s.join(best, "query_id").filter((-F.col("score") < F.col("_b.s")) | ((-F.col("score") == F.col("_b.s")) & (F.col("id") < F.col("_b.id"))))
+    deep = best.join(better.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")), "query_id", "left").select("query_id", F.col("_b.id").alias("id"), (F.coalesce("n", F.lit(0)) + 1).cast("int").alias("rank"), F.lit(1).alias("relevant"))
+    top = top_rows(s, k, digits).select("query_id", "id", "rank", "relevant")
+    return top.unionByName(deep.filter(F.col("rank") > k)), truth
+
+
+def per_type_sample(rows: DataFrame, key: str, kind: str, targets: list[str], per_type: int, others: int, least: int = 5, seed: int = 0) -> DataFrame:
+    """(key, kind, role): `per_type` rows of each target kind that has at least `least`, and `others` rows of the kinds
+    that are no target, in a reproducible random order of their keys. A sampling operator: the numbers are the feature."""
+    is_target = F.coalesce(F.col(kind).isin(*targets), F.lit(False))
+    order = [hash_order(F.col(key), seed=seed), F.col(key)]
+    big = rows.filter(is_target).groupBy(kind).count().filter(F.col("count") >= least).select(kind)
+    a = rows.filter(is_target).join(big, kind, "left_semi").select(key, kind).withColumn("_r", F.row_number().over(Window.partitionBy(kind).orderBy(*order))).filter(F.col("_r") <= per_type)
+    b = rows.filter(~is_target).select(key, kind).orderBy(*order).limit(others)
+    return a.select(key, kind, F.lit("target").alias("role")).unionByName(b.select(key, kind, F.lit("distractor").alias("role")))
+
+
 def sum_vector(rows: DataFrame, vector: str, by: list[str]) -> DataFrame:
     """Per group: n and the sum of the unit vectors, component by component, without gathering vectors."""
     unit = rows.withColumn("_n", F.greatest(F.sqrt(dot(F.col(vector), F.col(vector))), F.lit(1e-12)))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import places, scalars, text
 from ..operators import audit, documents, evaluation, graph, html, profile, search
+from ..sources import readers, sinks
 from ..streaming import incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,10 +33,13 @@ def query(sql: str | None = None):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from . import catalogue_files, catalogue_more  # noqa: F401  (they register theirs)
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(SQL)
 
 
@@ -47,17 +51,16 @@ class _Tables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
 
-# vector search: the first vector of each label asks
+# vector search: every row whose id is divisible by 100 asks, against all others
 
-_ASKED = "q AS (SELECT vec_id AS query_id, embedding AS v, label AS wanted FROM embeddings WHERE vec_id IN (SELECT min(vec_id) FROM embeddings GROUP BY label))"
+_ASKED = "q AS (SELECT vec_id AS query_id, embedding AS v, label AS wanted FROM embeddings WHERE vec_id % 100 = 0)"
 _SCORED = f"""{_ASKED}, s AS (SELECT query_id, wanted, vec_id AS id, label AS owner, list_dot_product(embedding::DOUBLE[], v::DOUBLE[])
     / greatest(sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) * sqrt(list_dot_product(v::DOUBLE[], v::DOUBLE[])), 1e-12) AS score FROM embeddings, q WHERE vec_id <> query_id)"""
 
 
 def _scored(spark: SparkSession, sf: str) -> DataFrame:
     e = _Tables(spark, sf).embeddings
-    first = e.groupBy("label").agg(F.min("vec_id").alias("vec_id"))
-    q = e.join(first.select("vec_id"), "vec_id", "left_semi").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"), F.col("label").alias("wanted"))
+    q = e.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"), F.col("label").alias("wanted"))
     corpus = e.select(F.col("vec_id").alias("id"), F.col("label").alias("owner"), "embedding")
     return search.scores(q, corpus).filter("id <> query_id")
 
@@ -76,8 +79,7 @@ _RANKED = f"WITH {_SCORED}, r AS (SELECT *, row_number() OVER (PARTITION BY quer
 
 
 def _ranked(spark, sf, k=50):
-    rows = search.top_rows(_scored(spark, sf), 10**9).withColumn("relevant", (F.col("owner") == F.col("wanted")).cast("int"))
-    return rows, rows.groupBy("query_id").agg(F.sum("relevant").alias("n_relevant"))
+    return search.judged(_scored(spark, sf), F.col("owner") == F.col("wanted"), k)
 
 
 @query(f"""{_RANKED} SELECT query_id, sum(relevant) FILTER (rank <= 10)::BIGINT AS hits, round(hits / 10, 9) AS precision, round(CASE WHEN least(10, any_value(n)) > 0 THEN hits / least(10, any_value(n)) ELSE 0 END, 9) AS recall,
@@ -174,9 +176,14 @@ def title_duplicate_stats(spark, sf):
     return profile.duplicate_titles(_Tables(spark, sf).documents, text.title_key(F.col("text")))
 
 
-@query("SELECT \"column\", count(DISTINCT v) AS distinct_values, max(length(v)) AS longest, CASE WHEN count(DISTINCT v) = 1 THEN 'constant' WHEN max(length(v)) > 25 THEN 'text' WHEN count(DISTINCT v) <= 12 THEN 'code' ELSE 'high cardinality' END AS kind FROM (SELECT p_brand, p_type, p_name FROM part) UNPIVOT (v FOR \"column\" IN (p_brand, p_type, p_name)) GROUP BY 1")
+@query("""WITH p AS (SELECT p_brand, p_type, p_name, 'the same remark in every single row' AS remark, 'x' AS flag, p_partkey::VARCHAR AS k, p_name AS w FROM part),
+    u AS (SELECT "column", v FROM p UNPIVOT (v FOR "column" IN (p_brand, p_type, p_name, remark, flag, k)) UNION ALL SELECT 'words', unnest(string_split(w, ' ')) FROM p)
+    SELECT "column", count(DISTINCT v) AS distinct_values, max(length(v))::INTEGER AS longest, CASE WHEN bool_or(length(v) > 25) THEN 'text' WHEN count(DISTINCT v) = 1 THEN 'constant' WHEN count(DISTINCT v) <= 12 THEN 'code' ELSE 'high cardinality' END AS kind FROM u GROUP BY 1
+    UNION ALL SELECT 'ref', NULL, NULL, 'reference' UNION ALL SELECT 'refs', NULL, NULL, 'reference'""")
 def field_kinds(spark, sf):
-    return profile.field_kinds(_Tables(spark, sf).part, ["p_brand", "p_type", "p_name"])
+    ref = F.struct(F.col("p_partkey").alias("_id"), F.col("p_name").alias("_label"))
+    p = _Tables(spark, sf).part.select("p_brand", "p_type", "p_name", F.lit("the same remark in every single row").alias("remark"), F.lit("x").alias("flag"), F.col("p_partkey").alias("k"), F.split("p_name", " ").alias("words"), ref.alias("ref"), F.array(ref).alias("refs"), (F.col("p_size") > 5).alias("large"))
+    return profile.field_kinds(p, p.columns)
 
 
 _CASES = " ".join(f"WHEN regexp_matches(p_name, '{p}') THEN '{n}'" for n, p in FAMILIES)
@@ -193,19 +200,24 @@ def family_fallback(spark, sf):
     return profile.with_families(_Tables(spark, sf).part, F.col("p_name"), FAMILIES).groupBy("family", "fallback").agg(F.count(F.lit(1)).alias("n"))
 
 
-_FAMILY_STATS = f"""{_FAMILY}, b AS (SELECT family, count(*) AS n, round(avg((p_size > 25)::INTEGER), 9) AS large_rate FROM g WHERE family IS NOT NULL GROUP BY 1),
-    k AS (SELECT family, p_type AS top_kind, count(*) AS c, row_number() OVER (PARTITION BY family ORDER BY count(*) DESC, p_type) AS r FROM g WHERE family IS NOT NULL AND p_type IS NOT NULL GROUP BY 1, 2),
-    h AS (SELECT family, fallback AS top_fallback, count(*) AS c, row_number() OVER (PARTITION BY family ORDER BY count(*) DESC, fallback) AS r FROM g WHERE family IS NOT NULL AND fallback IS NOT NULL GROUP BY 1, 2),
-    st AS (SELECT b.*, top_kind, round(coalesce(k.c, 0) / n, 9) AS kind_share, top_fallback, round(coalesce(h.c, 0) / n, 9) AS fallback_share FROM b LEFT JOIN k ON b.family = k.family AND k.r = 1 LEFT JOIN h ON b.family = h.family AND h.r = 1)"""
+_KINDS = "CASE WHEN p_partkey % 9 = 0 THEN NULL WHEN p_partkey % 4 = 0 THEN p_type || ' | ' || p_brand ELSE p_type END"
+_FAMILY_STATS = f"""{_FAMILY}, w AS (SELECT *, {_KINDS} AS kind, CASE WHEN p_size + 1990 BETWEEN 2000 AND 2026 THEN p_size + 1990 END AS y FROM g WHERE family IS NOT NULL),
+    b AS (SELECT family, count(*) AS n, round(avg((p_size > 25)::INTEGER), 9) AS large_rate, min(y)::INTEGER AS first_year, max(y)::INTEGER AS last_year FROM w GROUP BY 1),
+    kc AS (SELECT family, k, count(*) AS c FROM (SELECT family, trim(unnest(string_split(coalesce(nullif(trim(kind), ''), '(empty)'), '|'))) AS k FROM w) GROUP BY 1, 2),
+    kp AS (SELECT *, c / sum(c) OVER (PARTITION BY family) AS p, row_number() OVER (PARTITION BY family ORDER BY c DESC, k) AS r FROM kc),
+    ks AS (SELECT family, max(k) FILTER (r = 1) AS top_kind, max(c) FILTER (r = 1) AS c, count(*) AS n_kinds, round(CASE WHEN count(*) > 1 THEN -sum(p * ln(p)) / ln(count(*)) ELSE 0 END, 6) AS kind_entropy FROM kp GROUP BY 1),
+    h AS (SELECT family, coalesce(fallback, '(unclassified)') AS top_fallback, count(*) AS c, row_number() OVER (PARTITION BY family ORDER BY count(*) DESC, coalesce(fallback, '(unclassified)')) AS r FROM w GROUP BY 1, 2),
+    st AS (SELECT b.*, top_kind, round(ks.c / n, 9) AS kind_share, n_kinds, kind_entropy, top_fallback, round(h.c / n, 9) AS fallback_share FROM b JOIN ks USING (family) JOIN h ON b.family = h.family AND h.r = 1)"""
 
 
 def _families(spark, sf):
-    return profile.family_statistics(profile.with_families(_Tables(spark, sf).part, F.col("p_name"), FAMILIES), {"large_rate": F.col("p_size") > 25}, "p_type")
+    part = _Tables(spark, sf).part.withColumn("kind", F.expr("CASE WHEN p_partkey % 9 = 0 THEN NULL WHEN p_partkey % 4 = 0 THEN p_type || ' | ' || p_brand ELSE p_type END"))
+    return profile.family_statistics(profile.with_families(part, F.col("p_name"), FAMILIES), {"large_rate": F.col("p_size") > 25}, "kind", F.col("p_size").cast("int") + 1990)
 
 
-@query(f"WITH {_FAMILY_STATS} SELECT *, CASE WHEN kind_share >= 0.9 THEN 'redundant with kind' WHEN fallback_share >= 0.75 THEN 'could be merged' WHEN kind_share >= 0.55 THEN 'refines kind' ELSE 'own information' END AS verdict FROM st")
+@query(f"WITH {_FAMILY_STATS} SELECT *, CASE WHEN kind_share >= 0.9 THEN 'redundant' WHEN starts_with(top_kind, 'ECO') THEN 'strong' WHEN kind_entropy > 0.75 THEN 'loose pattern' WHEN kind_share < 0.55 THEN 'strong' ELSE 'medium' END AS verdict FROM st")
 def family_stats_verdict(spark, sf):
-    return profile.family_verdict(_families(spark, sf))
+    return profile.family_verdict(_families(spark, sf), other="ECO")
 
 
 @query(f"WITH {_FAMILY_STATS}, a AS (SELECT family AS largest, row_number() OVER (ORDER BY n DESC, family)::INTEGER AS place FROM st), c AS (SELECT family AS best_explained, row_number() OVER (ORDER BY large_rate DESC, family)::INTEGER AS place FROM st WHERE n >= 50) SELECT place, largest, best_explained FROM (SELECT * FROM a WHERE place <= 3) FULL JOIN (SELECT * FROM c WHERE place <= 3) USING (place)")
@@ -259,16 +271,13 @@ def self_parent_join(spark, sf):
 
 @query("SELECT a.p_partkey AS child, b.p_partkey AS parent FROM part a JOIN part b ON a.p_name = b.p_name AND a.p_brand = b.p_brand WHERE a.p_partkey > b.p_partkey AND a.p_size = b.p_size")
 def title_parent_join(spark, sf):
-    p = _Tables(spark, sf).part.select("p_partkey", "p_name", "p_brand", "p_size")
-    a, b = p.alias("a"), p.alias("b")
-    on = (F.col("a.p_name") == F.col("b.p_name")) & (F.col("a.p_brand") == F.col("b.p_brand")) & (F.col("a.p_size") == F.col("b.p_size")) & (F.col("a.p_partkey") > F.col("b.p_partkey"))
-    return a.join(b, on).select(F.col("a.p_partkey").alias("child"), F.col("b.p_partkey").alias("parent"))
+    return graph.title_hierarchy(_Tables(spark, sf).part.select("p_partkey", "p_name", "p_brand", "p_size"), "p_partkey", ["p_name", "p_brand", "p_size"])
 
 
 @query("SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)")
 def semi_referenced(spark, sf):
     t = _Tables(spark, sf)
-    return t.customer.select("c_custkey", "c_name").join(t.orders, F.col("c_custkey") == F.col("o_custkey"), "left_semi")
+    return graph.referenced(t.customer.select("c_custkey", "c_name"), "c_custkey", t.orders, "o_custkey")
 
 
 @query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -332,25 +341,34 @@ def triplet_topn(spark, sf):
 
 @query("SELECT text, count(*) AS count FROM documents GROUP BY 1 HAVING count(*) > 1")
 def uniqueness_check(spark, sf):
-    return graph.violations(_Tables(spark, sf).documents, ["text"])
+    return graph.text_violations(_Tables(spark, sf).documents, "text")
+
+
 
+_LIST = "coalesce(string_agg(l_partkey::VARCHAR, ',' ORDER BY l_linenumber, l_partkey) FILTER (l_returnflag = '{}'), '')"
 
 
-@query("SELECT l_orderkey, coalesce(string_agg(l_partkey::VARCHAR, ',' ORDER BY l_linenumber, l_partkey) FILTER (l_returnflag = 'A'), '') AS returned, coalesce(string_agg(l_partkey::VARCHAR, ',' ORDER BY l_linenumber, l_partkey) FILTER (l_returnflag = 'N'), '') AS open, min(l_linenumber) AS first_line FROM lineitem GROUP BY 1")
+@query(f"SELECT l_orderkey, arg_min(l_shipdate, (l_linenumber, l_partkey)) AS l_shipdate, {_LIST.format('A')} AS corrective, {_LIST.format('N')} AS preventive, {_LIST.format('R')} AS curative FROM lineitem GROUP BY 1")
 def group_first_and_lists(spark, sf):
-    rows = _Tables(spark, sf).lineitem
-    of = lambda k: F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("l_returnflag") == k, F.struct("l_linenumber", "l_partkey")))), lambda x: x["l_partkey"].cast("string")), ",")
-    return rows.groupBy("l_orderkey").agg(of("A").alias("returned"), of("N").alias("open"), F.min("l_linenumber").alias("first_line"))
+    kind = F.element_at(F.create_map(*[F.lit(x) for x in ("A", "corrective", "N", "preventive", "R", "curative")]), F.col("l_returnflag"))
+    rows = _Tables(spark, sf).lineitem.withColumn("at", F.struct("l_linenumber", "l_partkey")).withColumn("kind", kind)
+    g = readers.grouped_actions(rows, "l_orderkey", "at", "kind", ["l_partkey"], ["l_shipdate"])
+    return g.select("l_orderkey", "l_shipdate", *[F.array_join(F.transform(c, lambda x: x["l_partkey"].cast("string")), ",").alias(c) for c in ("corrective", "preventive", "curative")])
 
 
 _UUID = "substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || substr('89ab', (instr('0123456789abcdef', substr(h, 17, 1)) - 1) % 4 + 1, 1) || substr(h, 18, 3) || '-' || substr(h, 21, 12)"
 
 
-@query(f"WITH d AS (SELECT min(doc_id) AS doc_id, count(*) AS shared, lower(trim(left(text, 60))) AS name FROM documents GROUP BY name), s AS (SELECT *, sha1(unhex('{NAMESPACE.hex}') || name::BLOB) AS h FROM d) SELECT doc_id, shared, {_UUID} AS action_id FROM s".replace("name::BLOB", "encode(name)"))
+_STRIP = "trim(lower({}), E' \\n\\t\\r\\f\\x0B')"
+
+
+@query(f"""WITH d AS (SELECT min(doc_id) AS doc_id, count(*) AS shared, 'action:' || {_STRIP.format('text')} || ':' || {_STRIP.format('source')} || ':' || lang AS name FROM documents GROUP BY name),
+    s AS (SELECT *, sha1(unhex('{NAMESPACE.hex}') || encode(name)) AS h FROM d) SELECT doc_id, shared, {_UUID} AS action_id FROM s""")
 def shared_dedup_uuid5(spark, sf):
-    name = F.lower(F.trim(F.left("text", F.lit(60))))
-    g = _Tables(spark, sf).documents.groupBy(name.alias("name")).agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("shared"))
-    return g.select("doc_id", "shared", scalars.uuid5(NAMESPACE, F.col("name")).alias("action_id"))
+    """Actions of equal title, owner and date, whole: the text stands for the title, the source for the owner."""
+    name = F.concat_ws(":", F.lit("action"), text.strip(F.lower("text")), text.strip(F.lower("source")), F.col("lang"))
+    g = _Tables(spark, sf).documents.select("doc_id", scalars.uuid5(NAMESPACE, name).alias("action_id"))
+    return g.groupBy("action_id").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("shared"))
 
 
 @query("SELECT user_id, max_by(event_type, event_id) AS event_type, max_by(value, event_id) FILTER (value IS NOT NULL) AS value, max(event_id) AS event_id FROM events GROUP BY 1")
@@ -422,18 +440,29 @@ def document_verbalisation(spark, sf):
 @query()
 def greedy_pack_segments(spark, sf):
     d = _Tables(spark, sf).documents.select("doc_id", "text")
-    return documents.segments(d, F.split("text", "\n"), 1800).drop("text")
+    return documents.segments(d, F.split("text", "\n"), 1800)
 
 
 
-@query()
+_COMMON, _JARGON = ("DE", "LE", "THE", "ERE", "ST"), ("iso", "er")
+#: Words apart by two blanks, so that neighbours are found as well.
+_APART = r"'  ' || regexp_replace(text, '[^\p{L}\p{N}_]+', '  ', 'g') || '  '"
+
+
+@query(rf"""WITH t AS (SELECT doc_id, f, text FROM (SELECT doc_id, text, source || ' Q.R.P et Q.R ISO (NP7)' AS source FROM documents) UNPIVOT (text FOR f IN (text, source))),
+    o AS (SELECT doc_id, f, text, unnest([{{'a': replace(x, '.', ''), 's': x}} for x in regexp_extract_all(regexp_replace(text, '[^\p{{L}}\p{{N}}_.]+', '  ', 'g'), '(?:^| )((?:[A-Z]\.){{2,}}[A-Z]?)(?: |$)', 1)] || [{{'a': x, 's': x}} for x in regexp_extract_all({_APART}, ' ([A-Z][A-Z0-9]{{1,7}}) ', 1)]
+        || [{{'a': upper(x), 's': x}} for x in regexp_extract_all({_APART}, ' ((?i:iso|er)) ', 1)], recursive := true) FROM t),
+    n AS (SELECT a, count(*) AS frequency, count(DISTINCT doc_id) AS n_docs FROM o GROUP BY 1),
+    s AS (SELECT a, string_agg(s || ':' || c, ' ' ORDER BY c DESC, s) AS spellings FROM (SELECT a, s, count(*) AS c FROM o GROUP BY 1, 2) GROUP BY 1),
+    g AS (SELECT a, string_agg(f || ':' || c, ' ' ORDER BY c DESC, f) AS fields FROM (SELECT a, f, count(*) AS c FROM o GROUP BY 1, 2) GROUP BY 1)
+    SELECT a AS acronym, frequency, n_docs, CASE WHEN a IN ('ISO', 'ER') THEN 'lower case' WHEN regexp_matches(a, '[0-9]') THEN 'with digits' ELSE 'letters' END AS category, spellings, fields, CASE WHEN strip_accents(a) IN ('DE', 'LE', 'THE', 'ERE', 'ST') AND a <> 'ST' THEN 'common word' END AS reason FROM n JOIN s USING (a) JOIN g USING (a)""")
 def acronym_dictionary(spark, sf):
-    d = _Tables(spark, sf).documents
-    found = d.select("doc_id", F.explode(text.acronyms(F.col("text"))).alias("acronym")).groupBy("acronym").agg(F.count(F.lit(1)).alias("frequency"), F.countDistinct("doc_id").alias("n_docs"))
-    return profile.excluded_acronyms(found, ["DE", "LE", "THE"])
+    d = _Tables(spark, sf).documents.select(F.col("doc_id").alias("id"), "text", F.concat("source", F.lit(" Q.R.P et Q.R ISO (NP7)")).alias("source"))
+    texts = d.unpivot("id", ["text", "source"], "field", "text").filter("text is not null")
+    return profile.acronym_dictionary(texts, _COMMON, protected=["ST"], lower=_JARGON).drop("excerpts")
 
 
-@query(r"SELECT doc_id, regexp_replace(regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}', '[email]', 'g'), '(?:\+33 ?|0)[1-9](?:[ .-]?[0-9]{2}){4}', '[tel]', 'g') AS scrubbed FROM documents")
+@query(r"SELECT doc_id, regexp_replace(regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}', '[email]', 'g'), '(^|[^0-9A-Za-z_])(?:\+33 ?|0)[1-9](?:[\s.-]?[0-9]{2}){4}\b', '\1[tel]', 'g') AS scrubbed FROM documents")
 def pii_scrub(spark, sf):
     return _Tables(spark, sf).documents.select("doc_id", text.scrub(F.col("text")).alias("scrubbed"))
 
@@ -443,18 +472,39 @@ def citation_audit(spark, sf):
     return _Tables(spark, sf).conversations.select("conv_id", "turn", F.size(text.identifiers(F.col("text"), "[0-9]{2,}")).alias("citations"))
 
 
-@query("SELECT conv_id, turn, regexp_matches(text, '(?i)(pas|not|kein)') AS abstained, length(text)::INTEGER AS length, length(text) BETWEEN 80 AND 4000 AS ok_length FROM conversations WHERE role = 'assistant'")
+# answers of the assistant, with what the user of the same conversation wrote as their context; identifiers are words
+# that begin with wh, counted claims numbers before `to` or `and`
+
+_ANSWERS = r"""a AS (SELECT conv_id, turn, text, conv_id % 4 = 0 AS refuse FROM conversations WHERE role = 'assistant'),
+    c AS (SELECT conv_id, list_distinct(flatten(list(regexp_extract_all(lower(text), 'wh[a-z]+')))) AS ctx FROM conversations WHERE role = 'user' GROUP BY 1),
+    x AS (SELECT a.*, coalesce(ctx, []) AS ctx, regexp_extract_all(text, '(?i)wh[a-z]+') AS cited, [regexp_replace(n, '[^0-9]', '', 'g')::BIGINT for n in regexp_extract_all(text, '(?i)(?:^|[^0-9A-Za-z])([0-9][0-9  ]{0,9}) *(?:to|and)(?:[^0-9A-Za-z]|$)', 1)] AS numbers FROM a LEFT JOIN c USING (conv_id)),
+    y AS (SELECT *, CASE WHEN len(ctx) > 0 THEN [w for w in cited if NOT list_contains(ctx, lower(w))] ELSE [] END AS lost FROM x)"""
+
+
+@query(f"""WITH {_ANSWERS} SELECT conv_id, turn, len(cited)::INTEGER AS citations, len(lost)::INTEGER AS outside, array_to_string(lost[1:3], ',') AS examples, len(lost) = 0 AS ok_citations, regexp_matches(text, '(?i)(pas|not|kein)') AS abstained,
+    regexp_matches(text, '(?i)(pas|not|kein)') = refuse AS ok_abstention, CASE WHEN refuse THEN len(numbers) = 0 ELSE len([n for n in numbers if n > greatest(CASE WHEN len(ctx) > 0 THEN len(ctx) ELSE 999 END, 50)]) = 0 END AS ok_numbers, length(text)::INTEGER AS length, length(text) BETWEEN 80 AND 4000 AS ok_length FROM y""")
 def answer_flags(spark, sf):
-    c = _Tables(spark, sf).conversations.filter("role = 'assistant'")
-    flags = audit.deterministic(F.col("text"), F.array().cast("array<string>"), F.lit(False), "[0-9]{6}", "(pas|not|kein)", "cases?")
-    return c.select("conv_id", "turn", *[flags[n].alias(n) for n in ("abstained", "length", "ok_length")])
+    c = _Tables(spark, sf).conversations
+    words = F.array_distinct(F.flatten(F.collect_list(text.identifiers(F.lower("text"), "wh[a-z]+"))))
+    a = c.filter("role = 'assistant'").join(c.filter("role = 'user'").groupBy("conv_id").agg(words.alias("ctx")), "conv_id", "left")
+    flags = audit.deterministic(F.col("text"), F.coalesce("ctx", F.array().cast("array<string>")), F.col("conv_id") % 4 == 0, "(?i)wh[a-z]+", "(pas|not|kein)", "to|and")
+    return a.select("conv_id", "turn", *[(F.array_join(v, ",") if n == "examples" else v).alias(n) for n, v in flags.items()])
+
 
+_FOLDED = "strip_accents(lower({}))"
 
-@query("SELECT doc_id, CASE WHEN w = 'ABSTENTION' THEN a WHEN a THEN false WHEN w = 'CEILING' THEN v AND c ELSE v END AS passed FROM (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'EXACT' WHEN 1 THEN 'CEILING' ELSE 'ABSTENTION' END AS w, toxic = 1 AS a, quality = 1 AS v, doc_id % 2 = 0 AS c FROM labels)")
+
+@query(f"""WITH l AS (SELECT doc_id, text, {_FOLDED.format('text')} AS t, ['ABSTENTION', 'CEILING', 'EXACT'][doc_id % 3 + 1] AS w, CASE doc_id % 4 WHEN 0 THEN [left(text, 40), lang, 'zzz', 'qqq'] WHEN 1 THEN [lang, source] WHEN 2 THEN [regexp_replace(format('{{:,}}', n_chars), ',', ' ', 'g'), n_chars::VARCHAR] ELSE [source, 'erst'] END AS e, source || ' thention andthe' AS lim FROM documents),
+    v AS (SELECT *, len([x for x in e if x <> '' AND (contains(t, {_FOLDED.format('x')}) OR (length(x) > 25 AND contains(t, left({_FOLDED.format('x')}, 25))))]) AS n FROM l)
+    SELECT doc_id, CASE w WHEN 'ABSTENTION' THEN regexp_matches(text, '(?i)(pas|not|kein)') OR trim(t, E' \n\t\r\f\x0B') = '' WHEN 'CEILING' THEN len(list_intersect([x for x in regexp_split_to_array({_FOLDED.format('lim')}, '\\s+') if length(x) > 5], regexp_split_to_array(t, '\\s+'))) > 0 ELSE n >= greatest(1, len(e) // 2) END AS passed FROM v""")
 def status_rule(spark, sf):
-    d = F.col("doc_id")
-    w = F.when(d % 3 == 0, "EXACT").when(d % 3 == 1, "CEILING").otherwise("ABSTENTION")
-    return _Tables(spark, sf).labels.select("doc_id", audit.status(w, F.col("toxic") == 1, F.col("quality") == 1, d % 2 == 0).alias("passed"))
+    d = _Tables(spark, sf).documents
+    i = F.col("doc_id")
+    wanted = F.when(i % 3 == 0, "ABSTENTION").when(i % 3 == 1, "CEILING").otherwise("EXACT")
+    kind = F.element_at(F.array(*[F.lit(x) for x in ("ranking", "distribution", "number", "comparison")]), (i % 4 + 1).cast("int"))
+    entries = F.when(i % 4 == 1, F.create_map("lang", F.lit("x"), "source", F.lit("y"))).otherwise(F.create_map(F.lit("a"), "source", F.lit("b"), F.lit("erst")))
+    expected = audit.expected_values(kind, F.array(F.left("text", F.lit(40)), "lang", F.lit("zzz"), F.lit("qqq")), entries, F.col("n_chars").cast("long"))
+    return d.select("doc_id", audit.status(wanted, expected, F.concat("source", F.lit(" thention andthe")), F.col("text"), "(pas|not|kein)").alias("passed"))
 
 
 @query("SELECT event_type, count(*) AS n, count(*) FILTER (user_id % 3 <> event_id % 3) AS misrouted, count(*) FILTER (user_id % 3 <> event_id % 3 AND value < 10) AS costly FROM events GROUP BY 1")
@@ -462,12 +512,12 @@ def routing_cost(spark, sf):
     return audit.routing(_Tables(spark, sf).events, F.col("user_id") % 3, F.col("event_id") % 3, F.col("value"), F.lit(10.0), ["event_type"])
 
 
-@query(f"WITH b AS (SELECT item_id, strip_accents(lower(text)) AS t FROM benchmark WHERE item_id < 20), d AS (SELECT doc_id, strip_accents(lower(text)) AS t FROM documents), w AS (SELECT b.item_id, d.doc_id, regexp_extract_all(b.t, '{WORDS}') AS w, d.t FROM b, d) SELECT item_id, doc_id, round(len([x for x in w if contains(t, x)]) / len(w), 9) AS ratio FROM w WHERE len(w) > 0 AND round(len([x for x in w if contains(t, x)]) / len(w), 9) >= 0.9".replace(" WHERE item_id < 20", ""))
+@query(f"WITH b AS (SELECT item_id, strip_accents(lower(text)) AS t FROM benchmark), d AS (SELECT doc_id, strip_accents(lower(text)) AS t FROM documents), w AS (SELECT b.item_id, d.doc_id, regexp_extract_all(b.t, '{WORDS}') AS w, d.t FROM b, d) SELECT item_id, doc_id, round(len([x for x in w if contains(t, x)]) / len(w), 9) AS ratio FROM w WHERE len(w) > 0 AND round(len([x for x in w if contains(t, x)]) / len(w), 9) >= 0.9")
 def word_overlap_ratio(spark, sf):
     t = _Tables(spark, sf)
     b = t.benchmark.select("item_id", text.fold(F.col("text")).alias("need"))  # a stated query set
     d = t.documents.select("doc_id", text.fold(F.col("text")).alias("t"))
-    return d.crossJoin(F.broadcast(b)).select("item_id", "doc_id", F.round(text.overlap(F.col("need"), F.col("t")), 9).alias("ratio")).filter("ratio >= 0.9")
+    return search.against(d, b).select("item_id", "doc_id", F.round(text.overlap(F.col("need"), F.col("t")), 9).alias("ratio")).filter("ratio >= 0.9")
 
 
 @query("SELECT event_type, count(*) AS n, sum(CAST(json_extract(props, '$.k') AS BIGINT))::BIGINT AS total FROM events GROUP BY 1")
@@ -496,18 +546,28 @@ def yoy_trend(spark, sf):
 
 
 
-@query("WITH r AS (SELECT year(o_orderdate)::INTEGER AS y, o_orderpriority AS p, o_orderstatus AS k FROM orders), n AS (SELECT p, count(*) AS n, min(y) AS first_year, max(y) AS last_year FROM r GROUP BY 1), k AS (SELECT p, k, count(*) AS c, row_number() OVER (PARTITION BY p ORDER BY count(*) DESC, k) AS o FROM r GROUP BY 1, 2) SELECT n.p AS o_orderpriority, n.n, first_year, last_year, CASE WHEN c / n.n >= 0.6 THEN k END AS main_kind FROM n JOIN k ON n.p = k.p AND o = 1")
+_MINED = """r AS (SELECT o_orderkey AS i, year(o_orderdate)::INTEGER AS y, o_orderpriority AS p, o_orderstatus AS k, CASE WHEN o_custkey % 10 < 7 THEN 'zone ' || o_custkey % 3 END AS z, c_name || ' ' || o_orderpriority || ' ' || repeat(c_mktsegment || ' ', (o_orderkey % 20)::INTEGER) AS t FROM orders JOIN customer ON o_custkey = c_custkey)"""
+
+
+@query(f"""WITH {_MINED}, n AS (SELECT p, count(*) AS n, min(y) AS first_year, max(y) AS last_year FROM r GROUP BY 1),
+    k AS (SELECT p, k, count(*) AS c, row_number() OVER (PARTITION BY p ORDER BY count(*) DESC, k) AS o FROM r GROUP BY 1, 2),
+    z AS (SELECT p, z, count(*) AS c, row_number() OVER (PARTITION BY p ORDER BY count(*) DESC, z) AS o FROM r WHERE z IS NOT NULL GROUP BY 1, 2),
+    zz AS (SELECT p, string_agg(z.z, ',' ORDER BY z.c DESC, z.z) AS places FROM z JOIN n USING (p) WHERE o <= 2 AND z.c >= 3 AND z.c / n.n >= 0.25 GROUP BY 1),
+    e AS (SELECT p, string_agg(left(t, 120), ';' ORDER BY i) AS examples FROM (SELECT *, row_number() OVER (PARTITION BY p ORDER BY i) AS o FROM r WHERE length(t) > 25) WHERE o <= 3 GROUP BY 1)
+    SELECT n.p AS o_orderpriority, n.n, first_year, last_year, CASE WHEN k.c / n.n >= 0.35 THEN k END AS main_kind, places, examples FROM n JOIN k ON n.p = k.p AND o = 1 LEFT JOIN zz ON n.p = zz.p LEFT JOIN e ON n.p = e.p""".replace("0.35", "0.6"))
 def mined_facts(spark, sf):
-    o = _Tables(spark, sf).orders.select("o_orderpriority", "o_orderstatus", F.year("o_orderdate").alias("y"), F.lit(None).cast("string").alias("place"))
-    return audit.mined_facts(o, ["o_orderpriority"], "o_orderstatus", "place", "y").drop("places")
+    t = _Tables(spark, sf)
+    o = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    place = F.when(F.col("o_custkey") % 10 < 7, F.concat(F.lit("zone "), (F.col("o_custkey") % 3).cast("string")))
+    said = F.concat("c_name", F.lit(" "), "o_orderpriority", F.lit(" "), F.repeat(F.concat("c_mktsegment", F.lit(" ")), (F.col("o_orderkey") % 20).cast("int")))
+    rows = o.select("o_orderkey", "o_orderpriority", "o_orderstatus", F.year("o_orderdate").alias("y"), place.alias("place"), said.alias("said"))
+    m = audit.mined_facts(rows, ["o_orderpriority"], "o_orderstatus", "place", "y", "said", "o_orderkey")
+    return m.withColumns({"places": F.array_join("places", ","), "examples": F.array_join("examples", ";")})
 
 
-@query()
+@query(SQL["node_upsert"])
 def incremental_upsert(spark, sf):
-    import tempfile
-
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="orrery-")
-    path = f"{root}/upsert-{uuid.uuid4().hex}"
+    path = f"{sinks.shared_folder(spark)}/upsert-{uuid.uuid4().hex}"
     e = _Tables(spark, sf).events.select("user_id", "event_type", "value", "event_id")
     for i in range(2):
         e.filter(F.col("event_id") % 2 == i).write.parquet(f"{path}/in/{i}")

@@ -30,6 +30,7 @@ class Field:
     node_key: str | None = None
     relation: str | None = None
     required: bool = False
+    derived: str | None = None  # name in DERIVED
 
 
 @dataclass(frozen=True)
@@ -41,7 +42,7 @@ class Module:
     @staticmethod
     def parse(config: dict) -> Module:
         """From a parsed configuration file (French keys as in the files)."""
-        names = {"cle": "key", "noeud": "node", "cle_noeud": "node_key", "filtre_vide": "empty", "requis": "required"}
+        names = {"cle": "key", "noeud": "node", "cle_noeud": "node_key", "filtre_vide": "empty", "requis": "required", "derive": "derived"}
         fields = tuple(Field(**{names.get(k, k): tuple(v) if isinstance(v, list) else v for k, v in x.items()}) for x in config["champs"])
         return Module(config["module"], config["identite"], fields)
 
@@ -52,7 +53,9 @@ def missing_fields(module: Module, columns: list[str]) -> list[str]:
 
 
 def value(f: Field) -> Column:
-    """The field's Column: cast by type, null where the source is empty or does not fit."""
+    """The field's Column: the derived value it names, else cast by type, null where the source is empty or does not fit."""
+    if f.derived:
+        return DERIVED[f.derived](F.col(f"`{f.label}`"))
     s = strip(F.col(f"`{f.label}`").cast("string"))
     s = F.when((s != "") & ~F.lower(s).isin(*(e.lower() for e in f.empty)) if f.empty else (s != ""), s)
     if f.role == "date" or f.type in ("date", "horodatage"):
@@ -111,10 +114,13 @@ def is_test_record(title: Column, number: Column | None = None) -> Column:
     return out | F.coalesce(F.upper(number).contains("POSTMAN") | number.contains("{{"), F.lit(False)) if number is not None else out
 
 
-def routed(rows: DataFrame, kind: Column, extractors: dict[str, Callable[[DataFrame], DataFrame]]) -> DataFrame:
-    """Each kind's rows through its own projection; kinds without one are left out."""
+def routed(rows: DataFrame, kind: Column, extractors: dict[str, Callable[[DataFrame], DataFrame]], fallback: Column | None = None) -> DataFrame:
+    """Each kind's rows through its own projection. Rows whose kind has none go by `fallback` (the payload's own module
+    name); what that does not know either is left out."""
+    known = F.coalesce(kind.isin(*extractors), F.lit(False))
+    route = F.when(known, kind).otherwise(fallback) if fallback is not None else kind
     out = None
     for name, extract in extractors.items():
-        part = extract(rows.filter(kind == name))
+        part = extract(rows.filter(route == name))
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalars import repaired_escapes
 from ..functions.text import ascii_fold, strip
 
 
@@ -12,8 +13,7 @@ def json_records(spark: SparkSession, path: str, key: str = "module") -> DataFra
     """Records of JSON files that hold a list, or an envelope with _embedded.<key>: one VARIANT column, record. Lone
     backslashes are repaired; a file that can't be read gives no rows. Items that are no objects are left out."""
     text = spark.read.text(path, wholetext=True)
-    fixed = F.regexp_replace("value", r'\\(?!["\\/bfnrtu])', r"\\\\")
-    parsed = F.coalesce(F.try_parse_json("value"), F.try_parse_json(fixed))
+    parsed = F.coalesce(F.try_parse_json("value"), F.try_parse_json(repaired_escapes(F.col("value"))))
     items = F.coalesce(F.try_variant_get(parsed, f"$._embedded.{key}", "array<variant>"), F.try_variant_get(parsed, "$", "array<variant>"))
     return text.select(F.explode(items).alias("record")).filter(F.schema_of_variant("record").startswith("OBJECT"))
 

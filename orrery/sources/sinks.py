@@ -2,10 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+import tempfile
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+_own: dict[str, str] = {}
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, spark.checkpoint.dir; a temporary one only where all runs in one process."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return _own.setdefault(spark.sparkContext.applicationId, "file://" + tempfile.mkdtemp(prefix="orrery-"))
+
+
 def save(df: DataFrame, path: str, mode: str = "overwrite", partition: list[str] | None = None) -> None:
     w = df.write.mode(mode)
     (w.partitionBy(*partition) if partition else w).parquet(path)

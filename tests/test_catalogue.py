@@ -145,8 +145,6 @@ def test_profile_and_evaluation(spark):
     d = spark.createDataFrame([(i, 1.0 + i % 3) for i in range(60)], "id long, d double")
     r = evaluation.bootstrap(d, "d", 400).first()
     assert r.low < r.mean < r.high and r.verdict == "better" and r == evaluation.bootstrap(d, "d", 400).first()
-    with pytest.raises(ValueError):
-        search.scores(spark.createDataFrame([(i, [1.0]) for i in range(5)], "query_id long, q array<double>"), d, few=3)
     assert one(spark, audit.example_rate(F.lit(2), 10, F.lit(4), F.lit(0))) == 0.0
     first, top = audit.ranking_matches(F.array(F.lit("a"), F.lit("b")), F.array(F.lit("b"), F.lit("a")))
     assert one(spark, first) is False and one(spark, top) is True
