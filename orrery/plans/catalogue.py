@@ -348,10 +348,10 @@ def uniqueness_check(spark, sf):
 _LIST = "coalesce(string_agg(l_partkey::VARCHAR, ',' ORDER BY l_linenumber, l_partkey) FILTER (l_returnflag = '{}'), '')"
 
 
-@query(f"SELECT l_orderkey, arg_min(l_shipdate, (l_linenumber, l_partkey)) AS l_shipdate, {_LIST.format('A')} AS corrective, {_LIST.format('N')} AS preventive, {_LIST.format('R')} AS curative FROM lineitem GROUP BY 1")
+@query(f"SELECT l_orderkey, arg_min(l_shipdate, (l_linenumber, l_partkey, l_shipdate)) AS l_shipdate, {_LIST.format('A')} AS corrective, {_LIST.format('N')} AS preventive, {_LIST.format('R')} AS curative FROM lineitem GROUP BY 1")
 def group_first_and_lists(spark, sf):
     kind = F.element_at(F.create_map(*[F.lit(x) for x in ("A", "corrective", "N", "preventive", "R", "curative")]), F.col("l_returnflag"))
-    rows = _Tables(spark, sf).lineitem.withColumn("at", F.struct("l_linenumber", "l_partkey")).withColumn("kind", kind)
+    rows = _Tables(spark, sf).lineitem.withColumn("at", F.struct("l_linenumber", "l_partkey", "l_shipdate")).withColumn("kind", kind)
     g = readers.grouped_actions(rows, "l_orderkey", "at", "kind", ["l_partkey"], ["l_shipdate"])
     return g.select("l_orderkey", "l_shipdate", *[F.array_join(F.transform(c, lambda x: x["l_partkey"].cast("string")), ",").alias(c) for c in ("corrective", "preventive", "curative")])
 
