@@ -18,9 +18,12 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; where that is unset (tests), a folder of its own."""
+    """The folder that driver and executors share: spark.checkpoint.dir; where that is unset and all runs in one process
+    (tests), a temporary folder of its own."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         if app not in _own_roots:
             _own_roots[app] = "file://" + tempfile.mkdtemp(prefix="orrery-")
@@ -39,6 +42,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Deletes all that this process's operators have written to the shared folder. Results that were not yet written
+    elsewhere read from there, so this is for the end of a job."""
+    delete_path(spark, f"{shared_root(spark)}/orrery/{os.getpid()}")
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -65,16 +74,22 @@ def fold_of(doc_id: Column, folds: int) -> Column:
 
 
 ROW = "_row_of_docs"
+_ASIDE = "_given_row_of_docs"
+#: Row numbers that are sent to all tasks at once at most, about 100 bytes each; more are joined by a shuffle.
+FEW_ROWS = 500_000
 
 
 def numbered(docs: DataFrame) -> DataFrame:
     """docs with _row_of_docs, which tells its rows apart and comes out the same whenever docs is read.
 
     For a table read from files that is the file and the place in it, whatever the splits; anything else is written to
-    the shared folder first.
+    the shared folder first. A column of docs with that name steps aside; `as_given` brings it back.
     """
     from pyspark.errors import AnalysisException
 
+    for c in docs.columns:
+        if c.lower() == ROW:
+            docs = docs.withColumnRenamed(c, _ASIDE)
     try:
         out = docs.select("*", F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at")).alias(ROW))
         out.schema
@@ -83,6 +98,17 @@ def numbered(docs: DataFrame) -> DataFrame:
         return stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
 
 
+def as_given(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """rows, made from numbered(docs), with the columns of docs."""
+    return rows.select(*[F.col(_ASIDE).alias(c) if c.lower() == ROW else F.col(f"`{c}`") for c in docs.columns])
+
+
+def joined_rows(rows: DataFrame, chosen: DataFrame, how: str) -> DataFrame:
+    """Join of numbered rows with a stored table that has few columns and their _row_of_docs. Up to FEW_ROWS of them are
+    broadcast, so that whole texts stay where they are; beyond, both sides are shuffled."""
+    return rows.join(F.broadcast(chosen) if chosen.count() <= FEW_ROWS else chosen, ROW, how)
+
+
 def same(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
     """Null-safe equality of all keys."""
     cond = F.lit(True)
@@ -118,14 +144,14 @@ def running_sums(df: DataFrame, by: list[str], order: list[str], sums: list[str]
     )
 
 
-def join_groups(rows: DataFrame, groups: DataFrame, key: str, n: str, share: int = 1000) -> DataFrame:
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, n: str, share: int = 1000, total: int | None = None) -> DataFrame:
     """Inner join of rows with groups (one row per key; n: how many rows have it), safe for hot keys.
 
     Keys with more than one row in `share` are fewer than `share`, so they are broadcast whatever the size of the
     data; the others are joined by a shuffle whose largest key has at most that part of the rows. `rows` and `groups`
-    are read twice and should be stored tables.
+    are read twice and should be stored tables. total: the number of rows, where it is known.
     """
-    total = groups.agg(F.sum(n)).first()[0] or 0
+    total = (groups.agg(F.sum(n)).first()[0] or 0) if total is None else total
     hot = F.col(n) > F.lit(max(total // share, 1))
     few, many = groups.filter(hot), groups.filter(~hot)
     first = rows.join(F.broadcast(few), key, "inner")
