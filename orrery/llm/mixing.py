@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ROW, WORD, numbered, running_sums, stored
+from .common import ROW, WORD, as_given, numbered, running_sums, stored
 
 WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
@@ -64,7 +64,10 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def mixture(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", source: str = "source", length_col: str | None = "n_chars") -> DataFrame:
     """The mix itself, with the columns of docs: each row as often as its epochs say, and where a budget ends within a
-    text, its first words only, joined by single spaces. Rows without words stay out. length_col, if there, is set to the new text's length."""
+    text, its first words only, joined by single spaces. length_col, if there, is set to the new text's length.
+
+    Rows without words (null, empty or blank texts) stay out; a null source is one of its own; repeated rows are taken
+    as often as they occur. An empty table gives an empty result."""
     rows = numbered(docs)
     sized = rows.select(ROW, F.col(id_col).alias("_id"), F.col(source).cast("string").alias("_source"), word_count(F.col(text_col)).alias("_size"))
     share = mix(sized, "_id", "_source", "_size").filter("taken > 0").select(ROW, F.col("_size").alias("_mix_size"), F.col("taken").alias("_mix_taken"))
@@ -74,5 +77,7 @@ def mixture(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", sou
     cut = F.array_join(F.slice(F.regexp_extract_all(F.col(text_col), F.lit(WORD), 0), F.lit(1), part.cast("int")), " ")
     last = part < F.col("_mix_size")
     out = joined.withColumn("_mix_text", F.when(last, cut).otherwise(F.col(text_col)))
-    columns = [F.col("_mix_text").alias(c) if c == text_col else F.when(last, F.length("_mix_text").cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c) if c == length_col else F.col(c) for c in docs.columns]
-    return out.select(*columns)
+    out = out.withColumn(text_col, F.col("_mix_text"))
+    if length_col in docs.columns:
+        out = out.withColumn(length_col, F.when(last, F.length(text_col).cast(docs.schema[length_col].dataType)).otherwise(F.col(length_col)))
+    return as_given(out, docs)
