@@ -31,11 +31,14 @@ def _step(high: Column, low: Column) -> tuple[Column, Column]:
     return (carry + _times_low(low, A_HIGH) + _times_low(high, A_LOW)).bitwiseAND(F.lit(MASK)), s.bitwiseAND(F.lit(MASK))
 
 
-def jump_hash(high: Column, low: Column, shards: int) -> Column:
-    """The shard, 0 to shards - 1, of the 64-bit key with these halves (unsigned 32-bit, as bigint).
+def jump_state(high: Column, low: Column, shards: int) -> Column:
+    """Struct of b, the shard (0 to shards - 1) of the 64-bit key with these halves (unsigned 32-bit, as bigint), and j,
+    the number of shards that it takes to move the key again, less one.
 
-    One fold over 1..shards: each step jumps ahead while the next candidate is still below the number of shards.
+    A fold whose steps jump ahead while the next candidate is still below the number of shards. About ln(shards) jumps
+    are needed; the few keys that need more than `steps` of them are folded over all shards.
     """
+    steps = min(shards, 2 * shards.bit_length() + 8)
     start = F.struct(high.alias("h"), low.alias("l"), F.lit(-1).cast("long").alias("b"), F.lit(0).cast("long").alias("j"))
 
     def ahead(s: Column, _: Column) -> Column:
@@ -43,7 +46,13 @@ def jump_hash(high: Column, low: Column, shards: int) -> Column:
         j = F.floor((s["j"] + 1) * (F.lit(float(1 << 31)) / (F.shiftrightunsigned(h, 1) + 1).cast("double"))).cast("long")
         return F.when(s["j"] < F.lit(shards), F.struct(h.alias("h"), low.alias("l"), s["j"].alias("b"), j.alias("j"))).otherwise(s)
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(shards)), start, ahead, lambda s: s["b"]).cast("int")
+    fold = lambda n: F.aggregate(F.sequence(F.lit(1), F.lit(n)), start, ahead)
+    short = fold(steps)
+    return F.when(short["j"] >= shards, short).otherwise(fold(shards)) if steps < shards else short
+
+
+def jump_hash(high: Column, low: Column, shards: int) -> Column:
+    return jump_state(high, low, shards)["b"].cast("int")
 
 
 def key_halves(key: Column) -> tuple[Column, Column]:
@@ -64,7 +73,7 @@ def assign_shards(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col
     shard, as the law says. The texts are read once and never shuffled; an empty table gives an empty result.
     """
     sized = docs.select(F.col(id_col).alias(id_col), (F.coalesce(F.octet_length(text_col), F.lit(0)) + F.lit(16)).cast("long").alias("size"), crc32(whole(F.col(text_col))).cast("long").alias("text_crc32"))
-    placed = sized.withColumn("shard", shard_of(F.col(id_col), shards)).withColumn("one", F.lit(1).cast("long"))
-    return running_sums(placed, ["shard"], [id_col], ["one"], "shards").select(
-        id_col, "size", "text_crc32", F.lit("key").alias("law"), "shard", F.col("before_one").alias("slot"), shard_of(F.col(id_col), shards + 1).alias("grown_shard")
-    )
+    state = sized.withColumn("_jump", jump_state(*key_halves(F.col(id_col)), shards))
+    grown = F.when(F.col("_jump.j") == shards, F.lit(shards)).otherwise(F.col("_jump.b")).cast("int")
+    placed = state.select(id_col, "size", "text_crc32", F.col("_jump.b").cast("int").alias("shard"), grown.alias("grown_shard"), F.lit(1).cast("long").alias("one"))
+    return running_sums(placed, ["shard"], [id_col], ["one"], "shards").select(id_col, "size", "text_crc32", F.lit("key").alias("law"), "shard", F.col("before_one").alias("slot"), "grown_shard")
