@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, arrow_map, join_groups, numbered, stored
+from .common import ROW, arrow_map, as_given, join_groups, joined_rows, numbered, stored
 
 BITS, RADIUS, SHINGLE, SEED = 64, 4, 4, 42
 #: Buckets with at most so many different fingerprints are compared in one task; larger ones go by midpoints.
@@ -131,8 +131,8 @@ def _by_midpoints(dense: DataFrame, radius: int) -> DataFrame:
     for _ in range(radius // 2):
         balls = balls.select("fp", "z", F.explode(single).alias("_flip")).select("fp", F.col("z").bitwiseXOR(F.col("_flip")).alias("z")).distinct()
     balls = stored(balls, "simhash-midpoints")
-    least = balls.groupBy("z").agg(F.min("fp").alias("u"))
-    return balls.join(least, "z").filter("fp <> u").select("u", F.col("fp").alias("v")).distinct()
+    least = stored(balls.groupBy("z").agg(F.min("fp").alias("u"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "simhash-least")
+    return join_groups(balls, least, "z", "n").filter("fp <> u").select("u", F.col("fp").alias("v")).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -140,6 +140,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternating large-star and small-star rounds, each written to the shared folder, until nothing changes: the number
     of rounds grows with the logarithm of the longest chain, and no task needs more than the running minimum of a node.
+    Nodes with more than a thousandth of all links are joined by broadcast, so that a hub spreads over all tasks.
     """
     def up(e: DataFrame) -> DataFrame:
         return e.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
@@ -151,11 +152,11 @@ def components(edges: DataFrame) -> DataFrame:
     seen = mark(now)
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = up(both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("n"))
+        large = up(join_groups(both.filter("v > u"), least, "u", "n", total=2 * seen[0]).select(F.col("v").alias("u"), F.col("m").alias("v")))
         large = stored(large, "components")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
+        least = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+        small = join_groups(large, least, "u", "n", total=seen[0]).select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
         now = stored(up(small), "components")
         if (after := mark(now)) == seen:
             break
@@ -174,8 +175,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = stored(components(links(points.select("fp"), radius, bucket)), "simhash-roots")
     joined = points.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     joined = stored(joined, "simhash-joined")
-    labels = joined.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    groups = stored(joined.join(labels, "root").select("fp", "n", "component_id"), "simhash-groups")
+    labels = stored(joined.groupBy("root").agg(F.min("least_id").alias("component_id"), F.count(F.lit(1)).alias("_size")), "simhash-labels")
+    groups = stored(join_groups(joined, labels, "root", "_size").select("fp", "n", "component_id"), "simhash-groups")
     return join_groups(rows, groups, "fp", "n").select(*extra, "_row", id_col, "fp", "component_id")
 
 
@@ -187,7 +188,8 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     found = stored(found.filter(F.col("component_id").isNull() | F.col(id_col).eqNullSafe(F.col("component_id"))), "simhash-kept")
     first = found.filter("component_id is not null").groupBy("component_id").agg(F.min(ROW).alias(ROW)).select(ROW)
     kept = first.unionByName(found.filter("component_id is null").select(ROW))
-    return rows.join(kept, ROW, "left_semi").select(*docs.columns)
+    dropped = stored(rows.select(ROW).join(kept, ROW, "left_anti"), "simhash-dropped")
+    return as_given(joined_rows(rows, dropped, "left_anti"), docs)
 
 
 def hex64(x: Column) -> Column:
