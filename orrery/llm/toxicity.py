@@ -14,15 +14,19 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, arrow_map, fold_of, numbered, stored
+from .common import ROW, arrow_map, as_given, fold_of, joined_rows, numbered, stored
 from .wordpieces import blocks
 
 BITS = 20
 #: Bound of the labelled sample that the model is fitted on, in rows; a smaller training set is used whole.
 TRAIN_ROWS = 20_000
+#: Bound of what the fitting task holds, in features (four bytes each); texts that would exceed it are left out of the sample.
+TRAIN_FEATURES = 60_000_000
 #: FTRL-proximal: learning rate, its offset, L1, L2, passes.
 ALPHA, BETA, L1, L2, EPOCHS = 1.0, 1.0, 4.0, 0.0, 4
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.3
+#: Bytes of text whose features are held at a time, or one text.
+BLOCK = 1 << 20
 #: ASCII signs and controls end a word; letters, digits and everything beyond ASCII belong to it.
 _SIGNS = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
 #: Odd 64-bit multipliers that tell apart words, pairs and pairs with a gap; any odd numbers serve.
@@ -34,7 +38,7 @@ class _Hashes(dict):
 
     def __missing__(self, word: bytes) -> int:
         h = xxhash.xxh64_intdigest(word)
-        if len(self) < 300_000:
+        if len(self) < 100_000:
             self[word] = h
         return h
 
@@ -81,11 +85,13 @@ def ftrl(rows: list[tuple[np.ndarray, int]], bits: int = BITS, epochs: int = EPO
     return weights(slice(None))
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows: int = TRAIN_ROWS, bits: int = BITS) -> DataFrame:
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows: int = TRAIN_ROWS, bits: int = BITS, most: int = TRAIN_FEATURES) -> DataFrame:
     """Model (feature, weight) from the labelled documents outside the held-out fold; the feature 2**bits is the constant.
 
     Labels that are null or lack an id are left out; of several labels of an id the highest counts, of several texts of
-    a labelled id one. If there are more than `rows` labels, a hash of the id picks about so many. No labels: no rows.
+    a labelled id one. If there are more than `rows` labels, a hash of the id picks about so many; of these, in the order
+    of another hash, a text that would bring the features above `most` is left out. Null and empty texts have no
+    features and count for the constant. No labels: no rows.
     """
     known = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("label")).dropna()
     known = stored(known.filter(fold_of(F.col("id"), FOLDS) != HELD_OUT).groupBy("id").agg(F.max("label").alias("label")), "labels")
@@ -96,7 +102,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             done = 0
-            for block in blocks(b.column("text")):
+            for block in blocks(b.column("text"), BLOCK):
                 doc, f = features(block, bits)
                 key = np.unique((doc << bits) | f)
                 at = np.searchsorted(key, np.arange(len(block) + 1) << bits)
@@ -105,9 +111,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 done += len(block)
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        data = []
+        data, held = [], 0
         for b in batches:
-            data += [(np.asarray(f.values), y) for f, y in zip(b.column("features"), b.column("label").to_pylist())]
+            for f, y in zip(b.column("features"), b.column("label").to_pylist()):
+                if held + len(f) <= most:
+                    data.append((np.array(f.values, np.int32), y))
+                    held += len(f)
         if data:
             w = ftrl(data, bits)
             kept = np.flatnonzero(w)
@@ -119,7 +128,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def score(docs: DataFrame, model: DataFrame, text_col: str = "text", bits: int = BITS) -> DataFrame:
-    """docs without the text and with score: the model's probability, 0 without a model. Null counts as empty."""
+    """docs without the text and with score: the model's probability, 0 without a model. Null counts as empty; an empty
+    text has the constant's score, equal texts equal ones; an empty table gives an empty result."""
     rows = model.toPandas()  # at most 2**bits + 1 rows
     sparse = docs.sparkSession.sparkContext.broadcast((rows["feature"].to_numpy(np.int64), rows["weight"].to_numpy(float)))
     rest = [c for c in docs.columns if c != text_col]
@@ -130,7 +140,7 @@ def score(docs: DataFrame, model: DataFrame, text_col: str = "text", bits: int =
         weight[at] = w
         for b in batches:
             out = []
-            for block in blocks(b.column(text_col)):
+            for block in blocks(b.column(text_col), BLOCK):
                 doc, f = features(block, bits)
                 hit = weight[f] != 0
                 key = np.unique((doc[hit] << bits) | f[hit])
@@ -149,8 +159,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """docs without the rows scored at or above the threshold; all columns stay."""
+    """docs without the rows scored at or above the threshold; all columns stay. Null texts are scored as empty ones.
+    Without usable labels all rows stay; repeated rows get equal scores; an empty table gives an empty result."""
     model = train(docs, labels, id_col, text_col)
     rows = numbered(docs)
     bad = stored(score(rows.select(ROW, F.col(text_col).alias("_text")), model, "_text").filter(F.col("score") >= threshold).select(ROW), "toxic")
-    return rows.join(bad, ROW, "left_anti").select(*docs.columns)
+    return as_given(joined_rows(rows, bad, "left_anti"), docs)

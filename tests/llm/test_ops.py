@@ -206,7 +206,7 @@ def test_wordpieces_equal_whole_texts():
         assert np.frombuffer(got, "<u4").tolist() == _ids(t), repr(t)
 
 
-@pytest.mark.parametrize("block", [1000, 8 << 20])
+@pytest.mark.parametrize("block", [1000, 4 << 20])
 def test_wordpieces_of_mixed_signs(block, monkeypatch):
     """Contractions, special names in any case, signs beyond Latin-1, and texts longer than a block."""
     import pyarrow as pa
