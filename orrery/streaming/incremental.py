@@ -8,26 +8,59 @@ from pyspark.sql import functions as F
 from ..operators.graph import upsert
 
 
-def upsert_stream(stream: DataFrame, path: str, checkpoint: str, keys: list[str], order: str, available_now: bool = True):
-    """Keeps a table of one row per key: generation n is written beside generation n - 1, so a batch that is repeated
-    after a failure starts from the same rows."""
+#: Buckets of an upserted table; take enough that the rows of one fit in a task.
+BUCKETS = 64
+
+
+def upsert_stream(stream: DataFrame, path: str, checkpoint: str, keys: list[str], order: str, available_now: bool = True, buckets: int = BUCKETS):
+    """Keeps a table of one row per key, in buckets by a hash of the key.
+
+    A micro-batch reads and writes only the buckets that its keys fall into, as generation n beside the earlier ones, so
+    a batch that is repeated after a failure starts from the same rows. Of each bucket the last two generations stay.
+    """
 
     def apply(batch: DataFrame, n: int) -> None:
         spark = batch.sparkSession
-        old = spark.read.schema(batch.schema).parquet(f"{path}/{n - 1}") if n else batch.limit(0)
-        upsert(old, batch, keys, order).write.mode("overwrite").parquet(f"{path}/{n}")
+        key = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+        touched = {r["b"] for r in batch.select(key.alias("b")).distinct().collect()}  # at most `buckets` numbers
+        known = {b: [g for g in gens if g < n] for b, gens in _generations(spark, path).items() if b in touched}
+        old = _read(spark, path, batch.schema, {b: gens[-1] for b, gens in known.items() if gens})
+        upsert(old, batch, keys, order).withColumn("bucket", key).write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/gen={n}")
+        for b, gens in known.items():
+            for g in gens[:-1]:
+                _files(spark, path).delete(_path(spark, f"{path}/gen={g}/bucket={b}"), True)
 
     w = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return (w.trigger(availableNow=True) if available_now else w).start()
 
 
+def _path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _files(spark: SparkSession, path: str):
+    return _path(spark, path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _generations(spark: SparkSession, path: str) -> dict[int, list[int]]:
+    """Per bucket its complete generations, ascending."""
+    files, found = _files(spark, path), {}
+    done = {int(f.getPath().getParent().getName().split("=")[1]) for f in files.globStatus(_path(spark, f"{path}/gen=*/_SUCCESS")) or ()}
+    for f in files.globStatus(_path(spark, f"{path}/gen=*/bucket=*")) or ():
+        g, b = (int(p.getName().split("=")[1]) for p in (f.getPath().getParent(), f.getPath()))
+        if g in done:
+            found.setdefault(b, []).append(g)
+    return {b: sorted(gens) for b, gens in found.items()}
+
+
+def _read(spark: SparkSession, path: str, schema, wanted: dict[int, int]) -> DataFrame:
+    paths = [f"{path}/gen={g}/bucket={b}" for b, g in sorted(wanted.items())]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
 def newest(spark: SparkSession, path: str, schema) -> DataFrame:
-    """The last complete generation."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    done = [int(f.getPath().getName()) for f in files.listStatus(folder) if files.exists(jvm.org.apache.hadoop.fs.Path(f.getPath(), "_SUCCESS"))]
-    return spark.read.schema(schema).parquet(f"{path}/{max(done)}")
+    """The table: the last complete generation of every bucket."""
+    return _read(spark, path, schema, {b: gens[-1] for b, gens in _generations(spark, path).items()})
 
 
 def deduplicated(stream: DataFrame, key: str, time: str, late: str = "1 hour") -> DataFrame:

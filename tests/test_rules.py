@@ -9,6 +9,7 @@ from orrery.functions import places, scalars, text
 from orrery.operators import audit, documents, evaluation, golden, html, profile, search
 from orrery.plans import catalogue, schema
 from orrery.sources import readers
+from orrery.streaming import incremental
 
 from .test_catalogue import SF, one
 
@@ -125,6 +126,27 @@ def test_long_records_overflow(spark):
     assert all(len(r.text) <= 600 for r in got) and sum(r.text.count("mot") for r in got) == 180
 
 
+def test_upserts_touch_few_buckets_and_can_be_repeated(spark, tmp_path):
+    import os
+
+    schema_ = "k long, v string, at long"
+    rows = [(i % 40, f"v{i}", i) for i in range(120)]
+    for n in range(6):
+        part = [r for r in rows if r[2] // 20 == n] if n < 5 else [(1, "last", 500)]
+        spark.createDataFrame(part, schema_).coalesce(1).write.parquet(f"{tmp_path}/in/{n}")
+    stream = spark.readStream.schema(schema_).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in/*")
+    incremental.upsert_stream(stream, f"{tmp_path}/all", f"{tmp_path}/state", ["k"], "at", buckets=8).awaitTermination()
+    want = {}
+    for k, v, at in sorted(rows[:100] + [(1, "last", 500)], key=lambda r: r[2]):
+        want[k] = (v, at)
+    assert {r.k: (r.v, r.at) for r in incremental.newest(spark, f"{tmp_path}/all", schema_).collect()} == want
+    kept = [(g, b) for g in os.listdir(f"{tmp_path}/all") for b in os.listdir(f"{tmp_path}/all/{g}") if b.startswith("bucket=")]
+    assert max(sum(x == b for _, x in kept) for _, b in kept) <= 2 and len({b for _, b in kept}) == 8
+    again = spark.readStream.schema(schema_).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in/*")  # every batch once more
+    incremental.upsert_stream(again, f"{tmp_path}/all", f"{tmp_path}/state again", ["k"], "at", buckets=8).awaitTermination()
+    assert {r.k: (r.v, r.at) for r in incremental.newest(spark, f"{tmp_path}/all", schema_).collect()} == want
+
+
 # queries without SQL
 
 def _table(spark, name):
