@@ -386,7 +386,7 @@ def payload_patch(spark, sf):
     return graph.patch(t.customer.select("c_custkey", "c_mktsegment"), values, "c_custkey", ["c_mktsegment"], F.col("c_custkey") % 3 == 0)
 
 
-@query("SELECT * FROM (VALUES ('doc_id', true, true), ('text', true, false), ('lang', true, false), ('source', true, false), ('n_chars', true, false), ('quality', false, true), ('toxic', false, true)) t(property, in_a, in_b)")
+@query("SELECT coalesce(a.column_name, b.column_name) AS property, a.column_name IS NOT NULL AS in_a, b.column_name IS NOT NULL AS in_b FROM (DESCRIBE documents) a FULL JOIN (DESCRIBE labels) b ON a.column_name = b.column_name")
 def set_difference_columns(spark, sf):
     t = _Tables(spark, sf)
     names = lambda d: spark.createDataFrame([(c,) for c in d.columns], "property string")

@@ -6,8 +6,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..functions import scalars, text
-from ..operators import documents, graph, html
+from ..functions import domain, scalars, text
+from ..operators import documents, graph, html, profile
 from ..plans import schema
 from ..sources import readers, sinks
 from ..streaming import incremental
@@ -251,3 +251,42 @@ def merged_short_pieces(spark, sf):
     name = F.col("p_name")
     pieces = F.when(F.col("p_partkey") % 2 == 0, F.array(F.lit("a"), name, name)).otherwise(F.array(F.lit("a"), name, F.lit("b")))
     return _Tables(spark, sf).part.select("p_partkey", F.array_join(documents.merge_short(pieces, 3), ",").alias("pieces"))
+
+
+# the domain's own vocabulary, on titles and actions of invented records
+
+_TITLES = ("Colllision aviare en finale", "Choc d'un véhicule au poste", "Fuites de kérosène", "Refus de priorité à un aéronef", "Panne réseau, retour parking", "Oiseau/avion", "Feux éteints sur la voie", "Rien de tout cela", "Dégivrage et vent", "Passagers perturbateurs à bord")
+_ACTIONS = ("Rappel des consignes et note", "Réunion, puis formation du personnel", "Débris ramassés", "Étude de travaux", "Sanction", "Contrôle du balisage", "")
+
+
+def _quoted(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+def _title_sql(c: str) -> str:
+    out = f"trim(regexp_replace(regexp_replace(strip_accents(lower({c})), '[^a-z0-9/ -]', ' ', 'g'), '\\s+', ' ', 'g'))"
+    for pattern, by in domain.REWRITES:
+        out = f"regexp_replace({out}, {_quoted(pattern)}, {_quoted(by)}, 'g')"
+    return out
+
+
+def _found_sql(c: str, table) -> str:
+    return "[x for x in [" + ", ".join(f"CASE WHEN regexp_matches({c}, {_quoted(p)}) THEN {_quoted(n)} END" for n, p in table) + "] if x IS NOT NULL]"
+
+
+@query(f"WITH t AS (SELECT p_partkey, {_title_sql('[' + ', '.join(map(_quoted, _TITLES)) + '][p_partkey % 10 + 1] || chr(32) || p_name')} AS t FROM part), f AS (SELECT p_partkey, t, {_found_sql('t', domain.FAMILIES)} AS f FROM t) SELECT p_partkey, t AS title, f[1] AS family, f[2] AS fallback FROM f")
+def domain_families(spark, sf):
+    key = text.title_key(F.concat(_pick(_TITLES, F.col("p_partkey")), F.lit(" "), F.col("p_name")), domain.REWRITES)
+    return profile.with_families(_Tables(spark, sf).part.select("p_partkey", key.alias("title")), F.col("title"), domain.FAMILIES)
+
+
+@query(f"WITH t AS (SELECT p_partkey, strip_accents(lower([{', '.join(map(_quoted, _ACTIONS))}][p_partkey % 7 + 1])) AS t FROM part) SELECT p_partkey, array_to_string({_found_sql('t', domain.THEMES)}, '; ') AS themes, array_to_string({_found_sql('t', domain.CATEGORIES)}, '; ') AS categories FROM t")
+def domain_themes(spark, sf):
+    c = text.fold(_pick(_ACTIONS, F.col("p_partkey")))
+    return _Tables(spark, sf).part.select("p_partkey", F.array_join(text.all_matches(c, domain.THEMES), "; ").alias("themes"), F.array_join(text.all_matches(c, domain.CATEGORIES), "; ").alias("categories"))
+
+
+@query("SELECT p_partkey, ['contexte', 'actions_recommandees', 'references', NULL][p_partkey % 4 + 1] AS field FROM part")
+def domain_labels(spark, sf):
+    c = _pick(("Brève description<br/>de l'évènement :", "Bonnes pratiques identifiées", " RÉFÉRENCE ", "Divers"), F.col("p_partkey"))
+    return _Tables(spark, sf).part.select("p_partkey", text.alias(text.label_key(c), domain.LABELS).alias("field"))
