@@ -120,6 +120,18 @@ def enum_or(c: Column, allowed: Sequence[str], default: str) -> Column:
     return F.when(c.isin(*allowed), c).otherwise(default)
 
 
+def enum_by_prefix(c: Column, allowed: Sequence[str], default: str) -> Column:
+    """The allowed value that the text is, or the first that it begins with, whatever marks, case, blanks and hyphens;
+    else the default."""
+    from .text import ascii_fold
+
+    key = F.regexp_replace(F.lower(strip(ascii_fold(F.coalesce(c, F.lit(""))))), "[ -]", "_")
+    out = F.when(key.isin(*allowed), key)
+    for a in allowed:
+        out = out.when(key.startswith(a), F.lit(a))
+    return out.otherwise(default)
+
+
 def extras(names: Sequence[str], **columns: Column) -> Column:
     """Map of the named columns that are not null, as text. Structures are given as JSON: F.to_json(column)."""
     return F.map_filter(F.map_from_arrays(F.array(*[F.lit(f"extra_{n}") for n in names]), F.array(*[columns[n].cast("string") for n in names])), lambda k, v: v.isNotNull())

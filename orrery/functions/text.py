@@ -208,6 +208,15 @@ def split_operators(c: Column) -> Column:
     return F.filter(F.transform(parts, strip), lambda x: F.length(x) > 1)
 
 
+def prompt_parts(summary: Column, follow_up: Column, detail: Column, most: int, summary_most: int = 300, share: float = 0.55) -> tuple[Column, Column, Column]:
+    """The three texts of a prompt cut to `most` characters together: the summary to its own limit, the follow-up to a
+    share of what is left, the detail to the rest. Null counts as empty."""
+    own = lambda x: F.coalesce(x, F.lit(""))
+    s = F.left(strip(own(summary)), F.lit(summary_most))
+    f = F.left(own(follow_up), F.greatest(F.lit(0), F.floor((F.lit(most) - F.length(s)) * share).cast("int")))
+    return s, f, F.left(own(detail), F.greatest(F.lit(0), F.lit(most) - F.length(s) - F.length(f)))
+
+
 def fill_template(template: str, **values: Column) -> Column:
     """A prompt with {name} slots; a line whose only slot is empty or null is left out."""
     lines = []

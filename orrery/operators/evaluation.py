@@ -93,6 +93,17 @@ def success_stats(measures: DataFrame, by: list[str], digits: int = 9) -> DataFr
     )
 
 
+def compare_systems(measures: DataFrame, query: str, system: str, by: list[str], digits: int = 9) -> DataFrame:
+    """measures (query, system, returned, useful, k): two or more systems on the questions that all of them answered, at
+    equal k: questions, precision, success, median of useful rows, rows returned, useful ones, abstentions."""
+    systems = measures.agg(F.countDistinct(system).alias("_n"))
+    shared = measures.groupBy(query).agg(F.countDistinct(system).alias("_own")).crossJoin(F.broadcast(systems)).filter("_own = _n").select(query)  # one row is broadcast
+    m = measures.join(shared, query, "left_semi")
+    return m.groupBy(*by, system).agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg(F.col("useful") / F.greatest(F.lit(1), F.col("k"))), digits).alias("precision"), F.round(F.avg((F.col("useful") > 0).cast("int")), digits).alias("success"), F.percentile("useful", F.lit(0.5)).alias("median_useful"),
+        F.sum("returned").alias("returned"), F.sum("useful").alias("useful"), F.count_if(F.col("returned") == 0).alias("abstentions"))
+
+
 def useful_histogram(measures: DataFrame, by: list[str]) -> DataFrame:
     return measures.groupBy(*by, "useful").agg(F.count(F.lit(1)).alias("questions"))
 

@@ -382,3 +382,25 @@ def text_variants(spark, sf):
 @query(f"WITH {_SHEETS} SELECT o_orderkey, 'story' AS field, story AS text FROM sh WHERE length(story) >= 40 UNION ALL SELECT o_orderkey, 'fact', fact FROM sh WHERE fact IS NOT NULL AND lower(fact) <> 'ras'")
 def field_chunks(spark, sf):
     return documents.field_chunks(_sheets(spark, sf), "o_orderkey", [("story", F.col("story"), 40), ("fact", F.col("fact"), 5), ("none", F.lit("RAS"), 1)], gated=("fact", "none"), empty=("ras", "0"))
+
+
+# forms that need a rule of their own
+
+@query("SELECT p_partkey, ['tres_urgent', 'urgent', 'normal', 'normal', 'normal'][p_partkey % 5 + 1] AS level FROM part")
+def enum_prefixes(spark, sf):
+    c = F.element_at(F.array(*[F.lit(x) for x in (" Très urgent", "URGENT - jour J", "", "rien", None)]), (F.col("p_partkey") % 5 + 1).cast("int"))
+    return _Tables(spark, sf).part.select("p_partkey", scalars.enum_by_prefix(c, ["urgent", "tres_urgent"], "normal").alias("level"))
+
+
+@query(f"WITH t AS (SELECT doc_id, left({_STRIP.format('lang')}, 300) AS s, repeat('suivi ', (doc_id % 200)::INTEGER) AS f, text AS d FROM documents), u AS (SELECT *, left(f, greatest(0, floor((500 - length(s)) * 0.55)::INTEGER)) AS ff FROM t) SELECT doc_id, s AS summary, ff AS follow_up, left(d, greatest(0, 500 - length(s) - length(ff))) AS detail FROM u")
+def prompt_budgets(spark, sf):
+    s, f, d = text.prompt_parts(F.col("lang"), F.repeat(F.lit("suivi "), (F.col("doc_id") % 200).cast("int")), F.col("text"), 500)
+    return _Tables(spark, sf).documents.select("doc_id", s.alias("summary"), f.alias("follow_up"), d.alias("detail"))
+
+
+@query("""WITH m AS (SELECT o_orderkey AS q, 'tool' AS system, o_orderpriority AS route, o_custkey % 12 AS returned, least(o_custkey % 12, o_custkey % 5) AS useful, 10 AS k FROM orders UNION ALL SELECT o_orderkey, 'product', o_orderpriority, o_custkey % 11, least(o_custkey % 11, o_custkey % 7), 10 FROM orders WHERE o_orderkey % 3 > 0)
+    SELECT route, system, count(*) AS n, round(avg(useful / k), 9) AS precision, round(avg((useful > 0)::INTEGER), 9) AS success, quantile_cont(useful, 0.5) AS median_useful, sum(returned)::BIGINT AS returned, sum(useful)::BIGINT AS useful, count(*) FILTER (returned = 0) AS abstentions FROM m WHERE q % 3 > 0 GROUP BY 1, 2""")
+def system_comparison(spark, sf):
+    o, c = _Tables(spark, sf).orders, F.col("o_custkey")
+    run = lambda d, name, a, b: d.select(F.col("o_orderkey").alias("q"), F.lit(name).alias("system"), F.col("o_orderpriority").alias("route"), (c % a).alias("returned"), F.least(c % a, c % b).alias("useful"), F.lit(10).alias("k"))
+    return evaluation.compare_systems(run(o, "tool", 12, 5).unionByName(run(o.filter("o_orderkey % 3 > 0"), "product", 11, 7)), "q", "system", ["route"])
