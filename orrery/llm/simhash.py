@@ -140,7 +140,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternating large-star and small-star rounds, each written to the shared folder, until nothing changes: the number
     of rounds grows with the logarithm of the longest chain, and no task needs more than the running minimum of a node.
-    Nodes with more than a thousandth of all links are joined by broadcast, so that a hub spreads over all tasks.
+    Links are few beside the texts; a hub's are split by Spark's skew join.
     """
     def up(e: DataFrame) -> DataFrame:
         return e.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
@@ -152,11 +152,11 @@ def components(edges: DataFrame) -> DataFrame:
     seen = mark(now)
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("n"))
-        large = up(join_groups(both.filter("v > u"), least, "u", "n", total=2 * seen[0]).select(F.col("v").alias("u"), F.col("m").alias("v")))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = up(both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")))
         large = stored(large, "components")
-        least = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
-        small = join_groups(large, least, "u", "n", total=seen[0]).select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
         now = stored(up(small), "components")
         if (after := mark(now)) == seen:
             break
