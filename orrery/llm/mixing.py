@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ROW, WORD, as_given, numbered, running_sums, stored
+from .common import FEW_ROWS, ROW, WORD, as_given, joined_rows, numbered, running_sums, stored
 
 WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
@@ -40,6 +40,11 @@ def mixing_key(doc_id: Column) -> Column:
     return F.md5(F.encode(F.coalesce(doc_id.cast("string"), F.lit("")), "UTF-8"))
 
 
+def epochs_of(target: str) -> Column:
+    """Whole passes over a source that its rounded target holds."""
+    return F.when(F.col("source_size") > 0, F.expr(f"cast(round({target}) as bigint) div source_size")).otherwise(F.lit(0)).cast("long")
+
+
 def mix(sized: DataFrame, id_col: str = "doc_id", source: str = "source", size: str = "size") -> DataFrame:
     """sized: rows with id, source and size. Adds source_size, target and taken: how many words of this row the mix
     takes, whole epochs counted, the last one cut so that the source's words add up to its rounded target.
@@ -50,8 +55,7 @@ def mix(sized: DataFrame, id_col: str = "doc_id", source: str = "source", size:
     rows = stored(sized.withColumn("_key", mixing_key(F.col(id_col))), "mix")
     targets = stored(source_targets(rows.groupBy(source).agg(F.sum(size).alias("source_size")), source), "mix-targets")
     placed = running_sums(rows, [source], ["_key", id_col], [size], "mix-ranged", attach=targets)
-    budget = F.round(F.col("target")).cast("long")
-    epochs = F.when(F.col("source_size") > 0, F.expr("cast(round(target) as bigint) div source_size")).otherwise(F.lit(0)).cast("long")
+    budget, epochs = F.round(F.col("target")).cast("long"), epochs_of("target")
     left = budget - epochs * F.col("source_size") - F.col(f"before_{size}")
     taken = epochs * F.col(size) + F.greatest(F.lit(0).cast("long"), F.least(F.col(size), left))
     return placed.withColumn("taken", taken).drop("_key", f"before_{size}")
@@ -66,13 +70,25 @@ def mixture(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", sou
     """The mix itself, with the columns of docs: each row as often as its epochs say, and where a budget ends within a
     text, its first words only, joined by single spaces. length_col, if there, is set to the new text's length.
 
+    Up to where a source's budget ends, in the order of the hashed ids, all rows are taken, and none beyond: so the texts
+    are told by one row a source, and are not shuffled (beyond FEW_ROWS sources or repeated ids at the ends they are).
     Rows without words (null, empty or blank texts) stay out; a null source is one of its own; repeated rows are taken
     as often as they occur. An empty table gives an empty result."""
     rows = numbered(docs)
+    place = lambda i: F.struct(mixing_key(i).alias("k"), i.isNull().alias("none"), i.alias("i"))
     sized = rows.select(ROW, F.col(id_col).alias("_id"), F.col(source).cast("string").alias("_source"), word_count(F.col(text_col)).alias("_size"))
-    share = mix(sized, "_id", "_source", "_size").filter("taken > 0").select(ROW, F.col("_size").alias("_mix_size"), F.col("taken").alias("_mix_taken"))
+    share = stored(mix(sized, "_id", "_source", "_size").withColumn("_mix_extra", F.col("taken") - epochs_of("target") * F.col("_size")).withColumn("_place", place(F.col("_id"))), "mix-share")
+    edges = stored(share.groupBy("_source").agg(F.max(epochs_of("target")).alias("_mix_epochs"), F.max(F.when(F.col("_mix_extra") > 0, F.col("_place"))).alias("_mix_edge")).withColumnRenamed("_source", "_mix_edge_source"), "mix-edges")
+    few = edges.count() <= FEW_ROWS
+    by_source = lambda d, c: d.join(F.broadcast(edges) if few else edges, c.eqNullSafe(F.col("_mix_edge_source")))
+    # rows of the very place where a source's budget ends: one a source, or more where ids repeat
+    at_edge = stored(by_source(share, F.col("_source")).filter(F.col("_place") == F.col("_mix_edge")).select(ROW, "_mix_extra"), "mix-at-edge")
+    told = by_source(rows.withColumn("_mix_size", word_count(F.col(text_col))), F.col(source).cast("string"))
+    told = joined_rows(told, at_edge, "left")
+    extra = F.coalesce("_mix_extra", F.when(place(F.col(id_col)) < F.col("_mix_edge"), F.col("_mix_size")), F.lit(0))
+    told = told.withColumn("_mix_taken", F.col("_mix_epochs") * F.col("_mix_size") + extra).filter("_mix_taken > 0")
     copies = F.ceil(F.col("_mix_taken") / F.col("_mix_size")).cast("int")
-    joined = rows.join(share, ROW).withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), copies)))
+    joined = told.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), copies)))
     part = F.col("_mix_taken") - (F.col("_mix_copy") - 1) * F.col("_mix_size")
     cut = F.array_join(F.slice(F.regexp_extract_all(F.col(text_col), F.lit(WORD), 0), F.lit(1), part.cast("int")), " ")
     last = part < F.col("_mix_size")
