@@ -7,17 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, katz, licenses, mixing, packing, sharding, simhash, tiff, token_files, toxicity
+from . import alignment, exact_dedup, katz, licenses, mixing, packing, quality, sharding, simhash, tiff, token_files, toxicity, whitening
 
 SHARDS = 40
 #: Parameter: where the public tokenizer's vocabulary lies.
 VOCABULARY = "word_bpe_49k.json"
+#: The two tokenizers that are aligned.
+SIDES = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 
 
-def vocabulary() -> str:
+def vocabulary(name: str = VOCABULARY) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(VOCABULARY)
+    return public_tokenizers.path(name)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,8 +66,20 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(_table(spark, sf_dir, "documents"), *map(vocabulary, SIDES))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_katz, op3_sharding, op4_token_files, op5_simhash, op6_licenses, op7_toxicity, op8_packing, op9_tiff, op10_mixing)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_katz, op3_sharding, op4_token_files, op5_simhash, op6_licenses, op7_toxicity, op8_packing, op9_tiff, op10_mixing, op11_quality, op12_whitening, op13_alignment)}
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
