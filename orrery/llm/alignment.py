@@ -19,7 +19,6 @@ import hashlib
 import json
 import os
 import re
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -34,12 +33,12 @@ from .wordpieces import blocks
 
 KINDS = ("ends", "overlap", "product")
 #: Bytes of text in a block, or one text; a longer text is taken in parts of about this size.
-BLOCK = 8 << 20
-#: Bytes of units that a Python worker remembers between blocks, and the longest unit among them.
-MEMO, LONGEST = 3 << 20, 64
-_UNITS = re.compile(r"[ \t\r\n]*[^ \t\r\n]+|[ \t\r\n]+")
-#: White space that the tokenizers know beyond the four that begin a unit.
-_OTHER_SPACE = re.compile("[\x0b\x0c\x85\xa0  -     　]")
+BLOCK = 4 << 20
+#: Characters and links of units that a Python worker remembers between blocks; about 25 bytes are held for each.
+MEMO = 7 << 20
+_UNITS = re.compile(r"[ \t\n]*[^ \t\n]+|[ \t\n]+")
+#: White space that a tokenizer knows, or joins with what stands before it, beyond the three that begin a unit.
+_OTHER_SPACE = re.compile("[\r\x0b\x0c\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _MARK = "▁"
 
 
@@ -95,18 +94,26 @@ class Sides:
             t = json.load(f)
         pre = t.get("pre_tokenizer") or {}
         plain_a = not t.get("normalizer") and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
-        plain_b = not any(_MARK in p.lstrip(_MARK) or any(c in p for c in "\t\r\n") for p in pieces) and pieces[self.space] == _MARK
+        plain_b = not any(_MARK in p.lstrip(_MARK) or any(c in p for c in "\t\n") for p in pieces) and pieces[self.space] == _MARK
         #: Neither side has tokens across a cut between a word and the white space behind it, nor chooses by what lies there.
         self.by_units = bool(plain_a and plain_b)
 
-    def ids_a(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+    def ids_a(self, text: str) -> np.ndarray:
+        return np.array(self.a.encode(text, add_special_tokens=False).ids, np.int64)
 
-    def ids_b(self, units: list[str]) -> list[list[int] | None]:
-        """Ids of strings that stand behind a word, or begin a text with the space added; None if that can't be told."""
-        out = self.b.encode([u[1:] if u[:1] == " " else u for u in units], num_threads=1)
-        # before a tab or line end the added space is a token of its own
-        return [x if u[:1] == " " else x[1:] if x and x[0] == self.space else None for u, x in zip(units, out)]
+    def ids_b(self, text: str) -> np.ndarray:
+        """Ids of a string that begins a text with the space added, or stands behind a word. Before a tab or line feed the
+        space that the tokenizer adds is a token of its own and goes."""
+        if text[:1] == " ":  # of an empty text nothing is encoded, not even the space
+            return np.array(self.b.encode(text[1:]) if len(text) > 1 else [self.space], np.int64)
+        ids = np.array(self.b.encode(text), np.int64)
+        return ids[1:] if ids[:1] == self.space else ids
+
+    def bytes_a(self, ids: np.ndarray) -> bytes:
+        return b"".join([self.a_bytes[i] for i in ids.tolist()])
+
+    def bytes_b(self, ids: np.ndarray) -> bytes:
+        return b"".join([self.b_bytes[i] for i in ids.tolist()])
 
 
 class Units:
@@ -119,48 +126,74 @@ class Units:
     def clear(self) -> None:
         self.known: dict[str, int] = {}
         self.text: list[str] = []
-        self.counts: list[tuple[int, int, int]] = []  # A tokens, B tokens, groups; all 0: the bytes differ
-        self.pairs: list[np.ndarray] = []
+        self._chunks: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         self.held = 0
 
+    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per unit (A tokens, B tokens, groups, links), all 0 where the bytes differ; its links' first place; all links as
+        A id << 32 | B id."""
+        counts = np.concatenate([c for c, _ in self._chunks] or [np.empty((0, 4), np.int64)])
+        pairs = np.concatenate([p for _, p in self._chunks] or [np.empty(0, np.int64)])
+        self._chunks = [(counts, pairs)]
+        return counts, np.cumsum(counts[:, 3]) - counts[:, 3], pairs
+
     def learn(self, units: list[str]) -> None:
-        for i in range(0, len(units), 20_000):
-            self._learn(units[i : i + 20_000])
-
-    def _learn(self, units: list[str]) -> None:
-        s, first = self.sides, len(self.text)
-        ids_a, ids_b = s.ids_a(units), s.ids_b(units)
-        whole = [u.encode("utf-8", "replace") for u in units]
-        good = [y is not None and b"".join([s.a_bytes[i] for i in x]) == w and b"".join([s.b_bytes[i] for i in y]) == w for x, y, w in zip(ids_a, ids_b, whole)]
-        self.known.update(zip(units, range(first, first + len(units))))
-        self.text += [""] * len(units)
-        self.counts += [(0, 0, 0)] * len(units)
-        self.pairs += [np.empty(0, np.int64)] * len(units)
-        self.held += sum(map(len, units))
-        ok = [i for i, g in enumerate(good) if g]
-        if not ok:
-            return
-        n_a, n_b = [len(ids_a[i]) for i in ok], [len(ids_b[i]) for i in ok]
-        a, b = (np.fromiter((x for i in ok for x in v[i]), np.int64) for v in (ids_a, ids_b))
-        # the units' bytes one after the other; where a unit ends both sides end
+        """Adds units that are not known yet. Those that begin with white space and end with a word are encoded as one
+        text, in which the tokenizers don't look across them; any others, and all if that text fails, one by one."""
+        other = bool(_OTHER_SPACE.search("".join(units)))
+        joined = [u for u in units if u[-1] not in " \t\n" and not (other and _OTHER_SPACE.search(u))] if self.sides.by_units else []
+        told = set(joined) if len(joined) < len(units) else units
+        for i in range(0, len(joined), 20_000):
+            self._learn_joined(joined[i : i + 20_000])
+        if told is not units:
+            for u in units:
+                if u not in told:
+                    self._learn_one(u)
+
+    def _learn_joined(self, units: list[str]) -> None:
+        s, first = self.sides, " a"  # the text's first word, left out again
+        sizes = np.fromiter((len(u.encode("utf-8", "replace")) for u in [first, *units]), np.int64)
+        text, ends = first + "".join(units), np.cumsum(sizes)
+        a, b = s.ids_a(text), s.ids_b(text)
+        whole = text.encode("utf-8", "replace")
+        if s.bytes_a(a) == whole and s.bytes_b(b) == whole:
+            ends_a, ends_b = np.cumsum(s.a_len[a]), np.cumsum(s.b_len[b])
+            at_a, at_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+            if (ends_a[at_a] == ends).all() and (ends_b[at_b] == ends).all():
+                self._add(units, a[at_a[0] + 1 :], b[at_b[0] + 1 :], at_a[1:] - at_a[0] - 1, at_b[1:] - at_b[0] - 1)
+                return
+        for u in units:
+            self._learn_one(u)
+
+    def _learn_one(self, unit: str) -> None:
+        s, whole = self.sides, unit.encode("utf-8", "replace")
+        a, b = s.ids_a(unit), s.ids_b(unit)
+        if s.bytes_a(a) == whole and s.bytes_b(b) == whole:
+            self._add([unit], a, b, np.array([len(a) - 1]), np.array([len(b) - 1]))
+        else:
+            self._note([unit], [""], np.zeros((1, 4), np.int64), np.empty(0, np.int64))
+
+    def _add(self, units: list[str], a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> None:
+        """a, b: the ids of all units; last_a, last_b: the place of each unit's last token."""
+        s = self.sides
         at_a, at_b, closes = intervals(np.cumsum(s.a_len[a]), np.cumsum(s.b_len[b]))
         left, right = links(at_a, at_b, closes, self.kind)
-        pairs = a[left] << 32 | b[right]
-        last_a = np.cumsum(n_a) - 1
         group_a, group_b = at_a[closes], at_b[closes]
-        groups = np.searchsorted(group_a, last_a, "right")
-        cuts = np.searchsorted(left, last_a, "right")
+        groups, linked = np.searchsorted(group_a, last_a, "right"), np.searchsorted(left, last_a, "right")
         text_a, text_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
         strings, pa_, pb_ = [], 0, 0
         for x, y in zip((group_a + 1).tolist(), (group_b + 1).tolist()):
             strings.append((text_a[pa_] if x == pa_ + 1 else ",".join(text_a[pa_:x])) + "|" + (text_b[pb_] if y == pb_ + 1 else ",".join(text_b[pb_:y])))
             pa_, pb_ = x, y
-        g0, c0 = 0, 0
-        for i, x, y, g, c in zip(ok, n_a, n_b, groups.tolist(), cuts.tolist()):
-            self.text[first + i] = ";".join(strings[g0:g])
-            self.counts[first + i] = (x, y, g - g0)
-            self.pairs[first + i] = pairs[c0:c]
-            g0, c0 = g, c
+        cuts = groups.tolist()
+        counts = np.column_stack([np.diff(x, prepend=p) for x, p in ((last_a, -1), (last_b, -1), (groups, 0), (linked, 0))])
+        self._note(units, [";".join(strings[i:j]) for i, j in zip([0, *cuts], cuts)], counts, a[left] << 32 | b[right])
+
+    def _note(self, units: list[str], text: list[str], counts: np.ndarray, pairs: np.ndarray) -> None:
+        self.known.update(zip(units, range(len(self.text), len(self.text) + len(units))))
+        self.text += text
+        self._chunks.append((counts, pairs))
+        self.held += sum(map(len, units)) + len(pairs)
 
     def cut(self, text: str) -> list[str]:
         """The units of a text with the space in front."""
@@ -172,7 +205,7 @@ def _parts(text: str, by_units: bool) -> Iterator[str]:
     if len(text) <= BLOCK or not by_units or _OTHER_SPACE.search(text):
         yield text
         return
-    end = re.compile(r"(?<=[^ \t\r\n])(?=[ \t\r\n])")
+    end = re.compile(r"(?<=[^ \t\n])(?=[ \t\n])")
     a = 0
     while a < len(text):
         cut = end.search(text, a + BLOCK)
@@ -187,43 +220,60 @@ def _units(a_path: str, b_path: str, kind: str) -> Units:
     return Units(Sides(a_path, b_path), kind)
 
 
+def _numbers(known: Units, lists: list[list[str]]) -> list[np.ndarray]:
+    """The units' numbers, learning new ones."""
+    get = known.known.get
+    found = [list(map(get, x)) for x in lists]
+    new = dict.fromkeys(u for x, f in zip(lists, found) if None in f for u, i in zip(x, f) if i is None)
+    known.learn(list(new))
+    return [np.array(f if None not in f else list(map(get, x)), np.int64) for x, f in zip(lists, found)]
+
+
 def _block(known: Units, texts: list[bytes]) -> dict:
     """One block: counts of each text, its different units with how often it has them, the links of each unit as places
     in the block's list of different pairs, and how often the block holds each pair."""
     if known.held > MEMO:
         known.clear()
-    counts, shas, numbers, times, bounds = [], [], [], [], [0]
-    for t in texts:
-        own, sha, first, failed = Counter(), hashlib.sha256(), True, not t
-        for part in _parts(" " + t.decode("utf-8", "replace"), known.sides.by_units) if t else ():
-            units = known.cut(part)
-            part_counts = Counter(units)
-            known.learn([u for u in part_counts if u not in known.known])
-            for u, n in part_counts.items():
-                own[known.known[u]] += n
-            failed = failed or any(not known.counts[known.known[u]][0] for u in part_counts)
-            if failed:
+    parts = [_parts(" " + t.decode("utf-8", "replace"), known.sides.by_units) if t else iter(()) for t in texts]
+    if len(texts) > 1:  # no text of more than a block
+        lists = _numbers(known, [[u for p in x for u in known.cut(p)] for x in parts])
+        each = [[x] if len(x) else [] for x in lists]
+    else:
+        each = [(_numbers(known, [known.cut(p)])[0] for p in x) for x in parts]
+    owners, units, times, shas = [], [], [], []
+    for d, x in enumerate(each):
+        sha, any_part, good = hashlib.sha256(), False, True
+        own, n = np.empty(0, np.int64), np.empty(0, np.int64)
+        for i in x:
+            strings = [known.text[k] for k in i.tolist()]
+            good = good and "" not in strings
+            if not good:
                 break
-            sha.update(((";" * (not first)) + ";".join([known.text[i] for i in map(known.known.__getitem__, units)])).encode())
-            first = False
-        if failed:
-            own = Counter()
-        i, n = np.fromiter(own.keys(), np.int64, len(own)), np.fromiter(own.values(), np.int64, len(own))
-        numbers.append(i)
+            sha.update((";" * any_part + ";".join(strings)).encode())
+            any_part = True
+            here, m = np.unique(i, return_counts=True)
+            if len(own):
+                here, back = np.unique(np.concatenate([own, here]), return_inverse=True)
+                m = np.bincount(back, np.concatenate([n, m]), len(here)).astype(np.int64)
+            own, n = here, m
+        if not good:
+            own, n = np.empty(0, np.int64), np.empty(0, np.int64)
+        owners.append(np.full(len(own), d))
+        units.append(own)
         times.append(n)
-        bounds.append(bounds[-1] + len(i))
-        each = np.array([known.counts[x] for x in i.tolist()], np.int64).reshape(-1, 3)
-        counts.append([*(each * n[:, None]).sum(0).tolist(), int((n * np.array([len(known.pairs[x]) for x in i.tolist()], np.int64)).sum())])
-        shas.append("" if failed else sha.hexdigest())
-    used, place = np.unique(np.concatenate(numbers), return_inverse=True)
-    times = np.concatenate(times)
-    own = [known.pairs[i] for i in used.tolist()]
-    pairs, index = np.unique(np.concatenate([*own, np.empty(0, np.int64)]), return_inverse=True)
-    sizes = np.fromiter(map(len, own), np.int64, len(own))
-    per_unit = np.bincount(place, times, len(used)).astype(np.int64)
-    per_pair = np.bincount(index, np.repeat(per_unit, sizes), len(pairs)).astype(np.int64)
+        shas.append(sha.hexdigest() if any_part and good else "")
+    owner, unit, time_ = np.concatenate(owners), np.concatenate(units), np.concatenate(times)
+    counts, starts, pairs = known.tables()
+    totals = np.stack([np.bincount(owner, counts[unit, k] * time_, len(texts)) for k in range(4)], 1).astype(np.int64)
+    used, place = np.unique(unit, return_inverse=True)
+    sizes = counts[used, 3]
+    at = np.repeat(starts[used] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+    found, index = np.unique(pairs[at], return_inverse=True)
+    per_unit = np.bincount(place, time_, len(used))
+    per_pair = np.bincount(index, np.repeat(per_unit, sizes), len(found)).astype(np.int64)
     u4 = lambda x: np.asarray(x, "<u4").tobytes()
-    return {"counts": counts, "sha": shas, "units": u4(place), "times": u4(times), "bounds": bounds, "unit_links": u4(index), "unit_sizes": u4(sizes), "pairs": pairs, "pair_counts": per_pair}
+    bounds = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(texts)))])
+    return {"counts": totals, "sha": shas, "units": u4(place), "times": u4(time_), "bounds": bounds, "unit_links": u4(index), "unit_sizes": u4(sizes), "pairs": found, "pair_counts": per_pair}
 
 
 def encoded_blocks(docs: DataFrame, a_path: str, b_path: str, kind: str = "ends", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -241,9 +291,8 @@ def encoded_blocks(docs: DataFrame, a_path: str, b_path: str, kind: str = "ends"
                 ids = pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), b.column("id").slice(at, len(texts)))
                 at += len(texts)
                 one = lambda v, t: pa.array([v], t)
-                table = np.array(x["counts"], np.int64).reshape(-1, 4)
                 yield pa.RecordBatch.from_arrays(
-                    [one(number, pa.int64()), ids, *[one(table[:, i], pa.list_(pa.int64())) for i in range(4)], one(x["sha"], pa.list_(pa.string())), one(x["units"], pa.binary()), one(x["times"], pa.binary()), one(x["bounds"], pa.list_(pa.int64())), one(x["unit_links"], pa.binary()), one(x["unit_sizes"], pa.binary()), one(x["pairs"], pa.list_(pa.int64())), one(x["pair_counts"], pa.list_(pa.int64()))],
+                    [one(number, pa.int64()), ids, *[one(x["counts"][:, i], pa.list_(pa.int64())) for i in range(4)], one(x["sha"], pa.list_(pa.string())), one(x["units"], pa.binary()), one(x["times"], pa.binary()), one(x["bounds"], pa.list_(pa.int64())), one(x["unit_links"], pa.binary()), one(x["unit_sizes"], pa.binary()), one(x["pairs"], pa.list_(pa.int64())), one(x["pair_counts"], pa.list_(pa.int64()))],
                     names=names,
                 )
                 number += 1
@@ -269,7 +318,7 @@ def align_documents(docs: DataFrame, a_path: str, b_path: str, kind: str = "ends
     A text that is null or empty, or whose tokens' bytes do not give it back on either side, has no tokens: zeros and ''.
     Ids may be null or repeated: rows are independent, equal texts get equal figures, other columns don't matter. An
     empty table gives an empty result. A text of more than BLOCK is taken in parts; a text with other white space than
-    blanks, tabs and line ends, or one word, is encoded whole.
+    blanks, tabs and line feeds, or one word, is encoded whole.
     """
     coded = stored(encoded_blocks(docs, a_path, b_path, kind, id_col, text_col), "aligned")
     asked = coded.select("block", F.posexplode(F.arrays_zip("pairs", "pair_counts")).alias("place", "x")).select("block", "place", F.col("x.pairs").alias("pair"), F.col("x.pair_counts").alias("n"))
@@ -327,17 +376,15 @@ def aligned_groups(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc
 
 
 def _groups_of(known: Units, s: Sides, text: str) -> Iterator[dict]:
-    cut = lambda: (known.cut(p) for p in _parts(text, s.by_units))
-    for units in cut():
-        known.learn([u for u in dict.fromkeys(units) if u not in known.known])
-        if any(not known.counts[known.known[u]][0] for u in units):
-            return  # the bytes differ
+    parts = [_numbers(known, [known.cut(p)])[0] for p in _parts(text, s.by_units)]
+    if any(known.text[i] == "" for x in parts for i in x.tolist()):
+        return  # the bytes differ
     number = at = 0
-    for units in cut():
+    for x in parts:
         out: dict[str, list] = {k: [] for k in ("group", "start", "end", "a", "b")}
-        for u in units:
-            for g in known.text[known.known[u]].split(";"):
-                a, b = ([int(x) for x in side.split(",")] for side in g.split("|"))
+        for i in x.tolist():
+            for g in known.text[i].split(";"):
+                a, b = ([int(y) for y in side.split(",")] for side in g.split("|"))
                 size = int(s.a_len[a].sum())
                 for k, v in zip(out, (number, at, at + size, a, b)):
                     out[k].append(v)

@@ -355,10 +355,10 @@ def score(docs: DataFrame, model: DataFrame, keep: list[str], text_col: str = "t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         told = _Text()
         for b in batches:
-            parts = [margins(text_features(group, told)) for group in blocks(b.column(text_col), BLOCK)]
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], pa.array(_probability(np.concatenate(parts)) if parts else np.empty(0))], names=[*keep, "score"])
+            parts = [margins(text_features(group, told)) for group in blocks(b.column(len(keep)), BLOCK)]
+            yield pa.RecordBatch.from_arrays([*[b.column(k) for k in range(len(keep))], pa.array(_probability(np.concatenate(parts)) if parts else np.empty(0))], names=[*keep, "score"])
 
-    return arrow_map(docs.select(*keep, text_col), run, docs.select(*keep).withColumn("score", F.lit(0.0)).schema)
+    return arrow_map(docs.select(*keep, F.col(text_col)), run, docs.select(*keep).withColumn("score", F.lit(0.0)).schema)
 
 
 def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -372,6 +372,7 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
 def drop_poor(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """docs without the rows scored below the threshold; all columns stay."""
     model = train(docs, labels, id_col, text_col)
-    clash = "_text_" + text_col
-    rows = docs.withColumn(clash, F.col(text_col))
-    return score(rows, model, docs.columns, clash).filter(F.col("score") >= threshold).select(*docs.columns)
+    aside = "_given_score"
+    rows = docs.withColumnRenamed("score", aside)
+    kept = score(rows, model, rows.columns, text_col).filter(F.col("score") >= threshold)
+    return kept.select(*[F.col(aside).alias(c) if c.lower() == "score" else F.col(f"`{c}`") for c in docs.columns])
