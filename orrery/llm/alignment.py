@@ -35,7 +35,7 @@ KINDS = ("ends", "overlap", "product")
 #: Bytes of text in a block, or one text; a longer text is taken in parts of about this size.
 BLOCK = 4 << 20
 #: Characters and links of units that a Python worker remembers between blocks; about 25 bytes are held for each.
-MEMO = 7 << 20
+MEMO = 4 << 20
 _UNITS = re.compile(r"[ \t\n]*[^ \t\n]+|[ \t\n]+")
 #: White space that a tokenizer knows, or joins with what stands before it, beyond the three that begin a unit.
 _OTHER_SPACE = re.compile("[\r\x0b\x0c\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
