@@ -33,7 +33,7 @@ def query(sql: str | None = None):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import catalogue_files, catalogue_more  # noqa: F401  (they register theirs)
+    from . import catalogue_files, catalogue_index, catalogue_more  # noqa: F401  (they register theirs)
 
     return dict(QUERIES)
 
@@ -512,14 +512,6 @@ def routing_cost(spark, sf):
     return audit.routing(_Tables(spark, sf).events, F.col("user_id") % 3, F.col("event_id") % 3, F.col("value"), F.lit(10.0), ["event_type"])
 
 
-@query(f"WITH b AS (SELECT item_id, strip_accents(lower(text)) AS t FROM benchmark), d AS (SELECT doc_id, strip_accents(lower(text)) AS t FROM documents), w AS (SELECT b.item_id, d.doc_id, regexp_extract_all(b.t, '{WORDS}') AS w, d.t FROM b, d) SELECT item_id, doc_id, round(len([x for x in w if contains(t, x)]) / len(w), 9) AS ratio FROM w WHERE len(w) > 0 AND round(len([x for x in w if contains(t, x)]) / len(w), 9) >= 0.9")
-def word_overlap_ratio(spark, sf):
-    t = _Tables(spark, sf)
-    b = t.benchmark.select("item_id", text.fold(F.col("text")).alias("need"))  # a stated query set
-    d = t.documents.select("doc_id", text.fold(F.col("text")).alias("t"))
-    return search.against(d, b).select("item_id", "doc_id", F.round(text.overlap(F.col("need"), F.col("t")), 9).alias("ratio")).filter("ratio >= 0.9")
-
-
 @query("SELECT event_type, count(*) AS n, sum(CAST(json_extract(props, '$.k') AS BIGINT))::BIGINT AS total FROM events GROUP BY 1")
 def json_prop_extract(spark, sf):
     k = F.try_variant_get(scalars.tolerant_json(F.col("props")), "$.k", "bigint")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,13 @@ def shared_folder(spark: SparkSession) -> str:
     return _own.setdefault(spark.sparkContext.applicationId, "file://" + tempfile.mkdtemp(prefix="orrery-"))
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """df written to the shared folder and read back: cuts the lineage, and outlives any executor."""
+    path = f"{shared_folder(df.sparkSession)}/orrery-steps/{label}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def save(df: DataFrame, path: str, mode: str = "overwrite", partition: list[str] | None = None) -> None:
     w = df.write.mode(mode)
     (w.partitionBy(*partition) if partition else w).parquet(path)
