@@ -2,6 +2,7 @@
 
 import random
 import re
+import uuid
 from collections import Counter
 
 import pytest
@@ -16,6 +17,10 @@ from orrery.streaming.embedding_cache import EmbeddingCache, content_digest
 SF = "/root/testdata/sf0.001"
 
 
+def _new(spark, label):
+    return f"{sinks.shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 def _share(need, t):
     words = re.findall("[a-z0-9]{3,}", need or "")
     return round(sum(w in t for w in words) / len(words), 9) if words and t else None
@@ -107,7 +112,7 @@ def _points(spark, n=600, d=6, seed=3):
 @pytest.fixture(scope="module")
 def index(spark):
     points = _points(spark)
-    return points, vector_index.build(points, f"{sinks.shared_folder(spark)}/index-test", 12, payload="kind")
+    return points, vector_index.build(points, _new(spark, "index-test"), 12, payload="kind")
 
 
 def _rows(df):
@@ -150,7 +155,7 @@ def test_many_queries_meet_the_points_in_parts(spark, index, monkeypatch):
 
 def test_index_of_nothing(spark):
     points = _points(spark).limit(0)
-    empty = vector_index.build(points, f"{sinks.shared_folder(spark)}/index-empty", 4)
+    empty = vector_index.build(points, _new(spark, "index-empty"), 4)
     q = spark.createDataFrame([(1, [1.0, 0.0])], "query_id long, q array<double>")
     assert vector_index.search(empty, q, 3).count() == 0
 
@@ -165,7 +170,7 @@ def test_cache_computes_each_content_once(spark):
         asked.extend(r.text for r in got)
         return spark.createDataFrame([(bytes(r.digest), [float(len(r.text))]) for r in got], "digest binary, vector array<double>")
 
-    path = f"{sinks.shared_folder(spark)}/cache-test"
+    path = _new(spark, "cache-test")
     cache = EmbeddingCache(spark, path, "m1", embed, buckets=4)
     rows = spark.createDataFrame([(1, "aa"), (2, "aa"), (3, "b"), (4, None), (5, "")], "id long, text string")
     got = {r.id: r.vector for r in cache.embedded(rows).collect()}
