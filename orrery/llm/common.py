@@ -75,27 +75,29 @@ def fold_of(doc_id: Column, folds: int) -> Column:
 
 ROW = "_row_of_docs"
 _ASIDE = "_given_row_of_docs"
-#: Row numbers that are sent to all tasks at once at most, about 100 bytes each; more are joined by a shuffle.
-FEW_ROWS = 500_000
+#: Bytes of bitmaps that are sent to all tasks at once at most; the files of a larger table are taken in groups.
+BITMAP_BYTES = 64 << 20
+#: Bytes of one bitmap of Spark's bitmap functions, which holds a bit for each of 32768 rows.
+_BITMAP = 4096
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """docs with _row_of_docs, which tells its rows apart and comes out the same whenever docs is read.
-
-    For a table read from files that is the file and the place in it, whatever the splits; anything else is written to
-    the shared folder first. A column of docs with that name steps aside; `as_given` brings it back.
+    """docs with _row_of_docs, which tells its rows apart and comes out the same whenever docs is read: the file and the
+    place in it, whatever the splits. A table that is not read from files is written to the shared folder first. A
+    column of docs with that name steps aside; `as_given` brings it back.
     """
     from pyspark.errors import AnalysisException
 
     for c in docs.columns:
         if c.lower() == ROW:
             docs = docs.withColumnRenamed(c, _ASIDE)
+    place = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
     try:
-        out = docs.select("*", F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at")).alias(ROW))
+        out = docs.select("*", place.alias(ROW))
         out.schema
         return out
     except AnalysisException:
-        return stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+        return stored(docs, "numbered").select("*", place.alias(ROW))
 
 
 def as_given(rows: DataFrame, docs: DataFrame) -> DataFrame:
@@ -103,10 +105,43 @@ def as_given(rows: DataFrame, docs: DataFrame) -> DataFrame:
     return rows.select(*[F.col(_ASIDE).alias(c) if c.lower() == ROW else F.col(f"`{c}`") for c in docs.columns])
 
 
-def joined_rows(rows: DataFrame, chosen: DataFrame, how: str) -> DataFrame:
-    """Join of numbered rows with a stored table that has few columns and their _row_of_docs. Up to FEW_ROWS of them are
-    broadcast, so that whole texts stay where they are; beyond, both sides are shuffled."""
-    return rows.join(F.broadcast(chosen) if chosen.count() <= FEW_ROWS else chosen, ROW, how)
+def bit(bitmap: Column, place: Column) -> Column:
+    """Whether the bitmap, null if it is empty, has the place's bit."""
+    byte = F.conv(F.hex(F.substring(bitmap, (F.bitmap_bit_position(place) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return F.coalesce(F.getbit(byte, F.pmod(F.bitmap_bit_position(place), F.lit(8)).cast("int")) == 1, F.lit(False))
+
+
+def marked(rows: DataFrame, decisions: DataFrame, *flags: str) -> DataFrame:
+    """rows, numbered, with the boolean columns `flags` of decisions, a table with some of their _row_of_docs; false for
+    the others. The rows stay where they are, whatever the sizes.
+
+    Decisions become bitmaps, a bit per flag and row of those stretches of 32768 rows of a file that have any. These are
+    sent to all tasks; if they take more than BITMAP_BYTES, the files are dealt into groups by their hash, and each
+    group's rows meet its own bitmaps only. Every file is read once all the same.
+    """
+    at = decisions.select(F.col(f"{ROW}.file").alias("_file"), F.bitmap_bucket_number(f"{ROW}.at").alias("_stretch"), F.bitmap_bit_position(f"{ROW}.at").alias("_bit"), *flags).filter(F.greatest(*[F.col(f) for f in flags], F.lit(False)))
+    maps = stored(at.groupBy("_file", "_stretch").agg(*[F.bitmap_construct_agg(F.when(F.col(f), F.col("_bit"))).alias(f"_map_{f}") for f in flags]), "bitmaps")
+    groups = -(-maps.count() * _BITMAP * len(flags) // BITMAP_BYTES) or 1
+    of = lambda file, g: F.pmod(file, F.lit(groups)) == g if groups > 1 else F.lit(True)
+    out = None
+    for g in range(groups):
+        own, sent = rows.filter(of(F.col(f"{ROW}.file"), g)), F.broadcast(maps.filter(of(F.col("_file"), g)))
+        met = own.join(sent, (F.col(f"{ROW}.file") == F.col("_file")) & (F.bitmap_bucket_number(f"{ROW}.at") == F.col("_stretch")), "left")
+        part = met.select(*[F.col(f"`{c}`") for c in rows.columns], *[bit(F.col(f"_map_{f}"), F.col(f"{ROW}.at")).alias(f) for f in flags])
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def without_rows(rows: DataFrame, dropped: DataFrame) -> DataFrame:
+    """rows, numbered, without those whose _row_of_docs the table `dropped` has."""
+    flag = "_dropped_row"
+    return marked(rows, dropped.withColumn(flag, F.lit(True)), flag).filter(~F.col(flag)).drop(flag)
+
+
+def only_rows(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """Those of the numbered rows whose _row_of_docs the table `kept` has."""
+    flag = "_kept_row"
+    return marked(rows, kept.withColumn(flag, F.lit(True)), flag).filter(F.col(flag)).drop(flag)
 
 
 def same(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:

@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ROW, as_given, ascii_lower, delete_path, join_groups, joined_rows, numbered, stored, whole, work_path
+from .common import ROW, as_given, ascii_lower, delete_path, join_groups, numbered, stored, whole, without_rows, work_path
 
 BUCKETS = 64
 
@@ -99,4 +99,4 @@ def keep_first_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     index = DigestIndex(spark, work_path(spark, "digest-index"), buckets)
     dropped = stored(index.admit_rows(digests, "_id").filter("not kept").select(ROW), "copies")
     index.drop()
-    return as_given(joined_rows(rows, dropped, "left_anti"), docs)
+    return as_given(without_rows(rows, dropped), docs)

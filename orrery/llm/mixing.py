@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import FEW_ROWS, ROW, WORD, as_given, joined_rows, numbered, running_sums, stored
+from .common import ROW, WORD, as_given, marked, numbered, running_sums, stored
 
 WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
@@ -70,30 +70,21 @@ def mixture(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", sou
     """The mix itself, with the columns of docs: each row as often as its epochs say, and where a budget ends within a
     text, its first words only, joined by single spaces. length_col, if there, is set to the new text's length.
 
-    Up to where a source's budget ends, in the order of the hashed ids, all rows are taken, and none beyond: so the texts
-    are told by one row a source, and are not shuffled (beyond FEW_ROWS sources or repeated ids at the ends they are).
-    Rows without words (null, empty or blank texts) stay out; a null source is one of its own; repeated rows are taken
-    as often as they occur. An empty table gives an empty result."""
+    Texts are counted once, and told by bitmaps how often they are taken (whole up to MAX_EPOCHS times, as targets allow no
+    more) and whether they are also cut; only the texts that are cut, one a source at most, are shuffled. Rows without
+    words (null, empty or blank texts) stay out; a null source is one of its own; repeated rows are taken as often as
+    they occur. An empty table gives an empty result."""
     rows = numbered(docs)
-    place = lambda i: F.struct(mixing_key(i).alias("k"), i.isNull().alias("none"), i.alias("i"))
     sized = rows.select(ROW, F.col(id_col).alias("_id"), F.col(source).cast("string").alias("_source"), word_count(F.col(text_col)).alias("_size"))
-    share = stored(mix(sized, "_id", "_source", "_size").withColumn("_mix_extra", F.col("taken") - epochs_of("target") * F.col("_size")).withColumn("_place", place(F.col("_id"))), "mix-share")
-    edges = stored(share.groupBy("_source").agg(F.max(epochs_of("target")).alias("_mix_epochs"), F.max(F.when(F.col("_mix_extra") > 0, F.col("_place"))).alias("_mix_edge")).withColumnRenamed("_source", "_mix_edge_source"), "mix-edges")
-    few = edges.count() <= FEW_ROWS
-    by_source = lambda d, c: d.join(F.broadcast(edges) if few else edges, c.eqNullSafe(F.col("_mix_edge_source")))
-    # rows of the very place where a source's budget ends: one a source, or more where ids repeat
-    at_edge = stored(by_source(share, F.col("_source")).filter(F.col("_place") == F.col("_mix_edge")).select(ROW, "_mix_extra"), "mix-at-edge")
-    told = by_source(rows.withColumn("_mix_size", word_count(F.col(text_col))), F.col(source).cast("string"))
-    told = joined_rows(told, at_edge, "left")
-    extra = F.coalesce("_mix_extra", F.when(place(F.col(id_col)) < F.col("_mix_edge"), F.col("_mix_size")), F.lit(0))
-    told = told.withColumn("_mix_taken", F.col("_mix_epochs") * F.col("_mix_size") + extra).filter("_mix_taken > 0")
-    copies = F.ceil(F.col("_mix_taken") / F.col("_mix_size")).cast("int")
-    joined = told.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), copies)))
-    part = F.col("_mix_taken") - (F.col("_mix_copy") - 1) * F.col("_mix_size")
-    cut = F.array_join(F.slice(F.regexp_extract_all(F.col(text_col), F.lit(WORD), 0), F.lit(1), part.cast("int")), " ")
-    last = part < F.col("_mix_size")
-    out = joined.withColumn("_mix_text", F.when(last, cut).otherwise(F.col(text_col)))
-    out = out.withColumn(text_col, F.col("_mix_text"))
+    share = mix(sized, "_id", "_source", "_size").filter("taken > 0").select(ROW, F.expr("taken div _size").alias("_whole"), F.expr("taken % _size").alias("_mix_words"))
+    share = stored(share, "mix-share")
+    told = marked(rows, share.select(ROW, *[(F.col("_whole") >= i).alias(f"_mix_{i}") for i in range(1, MAX_EPOCHS + 1)], (F.col("_mix_words") > 0).alias("_mix_cut")), *[f"_mix_{i}" for i in range(1, MAX_EPOCHS + 1)], "_mix_cut")
+    copies = sum((F.col(f"_mix_{i}").cast("int") for i in range(1, MAX_EPOCHS + 1)), F.lit(0))
+    own = [F.col(f"`{c}`") for c in rows.columns]
+    whole = told.withColumn("_mix_copies", copies).filter("_mix_copies > 0").select(*own, F.explode(F.sequence(F.lit(1), F.col("_mix_copies")))).select(*own)
+    last = told.filter("_mix_cut").select(*own).join(share.filter("_mix_words > 0").select(ROW, "_mix_words"), ROW)
+    cut = F.array_join(F.slice(F.regexp_extract_all(F.col(text_col), F.lit(WORD), 0), F.lit(1), F.col("_mix_words").cast("int")), " ")
+    last = last.withColumn(text_col, cut)
     if length_col in docs.columns:
-        out = out.withColumn(length_col, F.when(last, F.length(text_col).cast(docs.schema[length_col].dataType)).otherwise(F.col(length_col)))
-    return as_given(out, docs)
+        last = last.withColumn(length_col, F.length(text_col).cast(docs.schema[length_col].dataType))
+    return as_given(whole, docs).unionByName(as_given(last, docs))

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, arrow_map, as_given, join_groups, joined_rows, numbered, stored
+from .common import ROW, arrow_map, join_groups, stored
 
 BITS, RADIUS, SHINGLE, SEED = 64, 4, 4, 42
 #: Buckets with at most so many different fingerprints are compared in one task; larger ones go by midpoints.
@@ -180,18 +180,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return join_groups(rows, groups, "fp", "n").select(*extra, "_row", id_col, "fp", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """docs with one row of each component: that with the smallest id, of repeated ids the first row. Components
-    without any id keep all their rows, since nothing tells them apart safely."""
-    rows = numbered(docs)
-    found = near_duplicates(rows.select(ROW, id_col, text_col), id_col, text_col, **how)
-    found = stored(found.filter(F.col("component_id").isNull() | F.col(id_col).eqNullSafe(F.col("component_id"))), "simhash-kept")
-    first = found.filter("component_id is not null").groupBy("component_id").agg(F.min(ROW).alias(ROW)).select(ROW)
-    kept = first.unionByName(found.filter("component_id is null").select(ROW))
-    dropped = stored(rows.select(ROW).join(kept, ROW, "left_anti"), "simhash-dropped")
-    return as_given(joined_rows(rows, dropped, "left_anti"), docs)
-
-
 def hex64(x: Column) -> Column:
     """16 lowercase hex digits of a 64-bit number."""
     return F.lower(F.lpad(F.hex(x), 16, "0"))

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, arrow_map, as_given, fold_of, joined_rows, numbered, stored
+from .common import ROW, arrow_map, as_given, fold_of, numbered, stored, without_rows
 from .wordpieces import blocks
 
 BITS = 20
@@ -164,4 +164,4 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     model = train(docs, labels, id_col, text_col)
     rows = numbered(docs)
     bad = stored(score(rows.select(ROW, F.col(text_col).alias("_text")), model, "_text").filter(F.col("score") >= threshold).select(ROW), "toxic")
-    return as_given(joined_rows(rows, bad, "left_anti"), docs)
+    return as_given(without_rows(rows, bad), docs)

@@ -161,8 +161,6 @@ def test_simhash(spark, docs, empty, bucket):
     got = simhash.near_duplicates(docs, bucket=bucket).collect()
     want = Counter((i, f, c) for (i, f), c in zip(points, _component_ids(points)))
     assert Counter((r.doc_id, r.fp % 2**64, r.component_id) for r in got) == want
-    stays = simhash.drop_near_duplicates(docs)
-    assert stays.count() == len({c for _, _, c in want if c is not None}) + sum(n for (_, _, c), n in want.items() if c is None)
     assert simhash.near_duplicates(empty).count() == 0
 
 
@@ -362,8 +360,7 @@ def test_toxicity_without_labels(spark, docs, empty):
 
 def test_clashing_columns(spark, docs):
     wide = docs.withColumnsRenamed({"lang": "_text", "n_chars": "size"}).selectExpr("*", "1 AS fp", "2 AS id", "3 AS digest", "'x' AS score", "4 AS n", "5 AS taken", "6 AS _row", "7 AS component_id")
-    for f in (exact_dedup.keep_first_copies, simhash.drop_near_duplicates):
-        assert f(wide).columns == wide.columns and f(wide).count() > 0
+    assert exact_dedup.keep_first_copies(wide).columns == wide.columns and exact_dedup.keep_first_copies(wide).count() > 0
     none = spark.createDataFrame([(1, 1, 1, "y")], "doc_id long, quality int, toxic int, text string")
     assert toxicity.drop_toxic(wide, none).columns == wide.columns
     for f in (exact_dedup.deduplicate, simhash.near_duplicates, mixing.mix_documents, tiff.text_media):

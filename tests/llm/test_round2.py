@@ -248,7 +248,7 @@ def test_extra_columns_with_clashing_names(spark):
     pieces = lambda d: rows(packing.pack_documents(d, vocabulary).select("doc_id", "piece", "length", "ids_crc32"))
     assert pieces(wide) == pieces(plain)
     assert katz.fit_and_score(wide).count() == docs.count()
-    for f in (exact_dedup.keep_first_copies, simhash.drop_near_duplicates, similar.drop_similar, mixing.mixture):
+    for f in (exact_dedup.keep_first_copies, similar.drop_similar, mixing.mixture):
         out = f(wide)
         assert out.columns == wide.columns and {r._row_of_docs for r in out.collect()} == {names.index("_row_of_docs")}
 

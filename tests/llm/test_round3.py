@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from orrery.llm import alignment, quality, queries, whitening
+from orrery.llm import alignment, common, quality, queries, whitening
 from orrery.llm.common import stored
 
 from .test_ops import SCHEMA, _rows
@@ -337,3 +337,27 @@ def test_trees_take_the_best_cut():
     cells[:2, :2], cells[2:, 2:], cells[:2, 2:], cells[2:, :2] = 1, 1, -1, -1
     gain, table = quality.quadrants(cells, np.ones((4, 4)), np.full((4, 4), 20.0))
     assert gain > 0 and (np.sign(table) == cells).all()
+
+
+# --- decisions as bitmaps
+
+@pytest.mark.parametrize("most", [common.BITMAP_BYTES, 5000])
+def test_marked_rows_whatever_the_size_of_the_bitmaps(spark, monkeypatch, most):
+    """One group of files and many: the same rows, no shuffle of the marked side, each file read once."""
+    monkeypatch.setattr(common, "BITMAP_BYTES", most)
+    path = common.work_path(spark, "marked")
+    spark.range(0, 70_000, 1, 3).select("id", F.concat(F.lit("t"), "id").alias("text")).write.parquet(path)
+    rows = common.numbered(spark.read.parquet(path))
+    chosen = stored(rows.filter("id % 7 = 0 or id between 40000 and 40100").select(common.ROW, (F.col("id") % 7 == 0).alias("a"), (F.col("id") % 5 == 0).alias("b")), "chosen")
+    got = common.marked(rows, chosen, "a", "b")
+    assert got.columns == [*rows.columns, "a", "b"] and got.count() == 70_000
+    bad = got.filter((F.col("a") != (F.col("id") % 7 == 0)) | (F.col("b") != ((F.col("id") % 5 == 0) & ((F.col("id") % 7 == 0) | F.col("id").between(40000, 40100)))))
+    assert bad.count() == 0
+    assert common.without_rows(rows, chosen.select(common.ROW)).count() + common.only_rows(rows, chosen.select(common.ROW)).count() == 70_000
+    assert common.only_rows(rows, chosen.select(common.ROW).limit(0)).count() == 0
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan.replace("hashpartitioning(_file", "") and "SortMergeJoin" not in plan
+    if most == 5000:  # a group's filter on the file reaches the scan, as one on the file's name
+        assert plan.count("Scan parquet") > 2 and "file_path" in plan
+        one = rows.filter(F.pmod(F.col(f"{common.ROW}.file"), F.lit(3)) == 0)
+        assert one.select("id").count() < 70_000
