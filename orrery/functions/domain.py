@@ -101,3 +101,28 @@ LABELS = {
     "reference": "references",
     "autres documents d'information": "references",
 }
+
+# Labels, as label_key gives them, that stand as a heading before what they say.
+MARKED_LABELS = (
+    "contexte aeronautique",
+    "contexte technique",
+    "contexte reglementaire",
+    "exigences reglementaires",
+    "breve description de l'evenement",
+    "enseignements de securite",
+    "suites donnees",
+    "prevention des evenements fumees et odeurs",
+    "bonnes pratiques identifiees",
+    "bonne pratique",
+    "actions de reduction de risque",
+    "autres documents d'information",
+    "evolution des mesures de reduction des risques",
+    "menaces et mesures de reduction des risques",
+)
+
+# Beginnings of labels that are standard notices, and headings that a page repeats in a short cell.
+IGNORED_LABELS = ("une info securite est un document", "info securite dgac", "info securite")
+PAGE_HEADINGS = ("info securite dgac", "info sécurité dgac", "n° 20", "no 20")
+
+# Fields that are lists of items.
+LIST_FIELDS = ("operateurs_concernes",)

@@ -204,8 +204,9 @@ def light_html(c: Column) -> Column:
 
 
 def split_operators(c: Column) -> Column:
-    parts = F.split(c, r"(?i)<br\s*/?>|[•\n]")
-    return F.filter(F.transform(parts, strip), lambda x: F.length(x) > 1)
+    """Items between line breaks, line ends and bullets, without dashes and blanks around them; single characters go."""
+    parts = F.split(c, r"(?i)<br\s*/?>|[•●\n]")
+    return F.filter(F.transform(parts, lambda x: F.regexp_replace(x, r"^[ \t-]+|[ \t-]+$", "")), lambda x: F.length(x) > 1)
 
 
 def prompt_parts(summary: Column, follow_up: Column, detail: Column, most: int, summary_most: int = 300, share: float = 0.55) -> tuple[Column, Column, Column]:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import strip
+from ..functions import domain
+from ..functions.text import alias, label_key, plausible_label, split_operators, strip
 
 
 def present(c: Column) -> Column:
@@ -27,13 +28,17 @@ def document(identity: Column, metadata: list[Column], factors: Column, narrativ
     return F.concat_ws("\n", present(identity), F.nullif(F.concat_ws(" | ", *[present(m) for m in metadata]), F.lit("")), present(factors), *[present(x) for x in narrative])
 
 
-def cut_lines(lines: Column, width: int) -> Column:
-    """Lines longer than width are cut into pieces of that many characters at most, at a blank where there is one."""
-    pattern = rf"(?s)\S.{{0,{max(0, width - 1)}}}(?=\s|$)|\S{{1,{width}}}"
-    return F.flatten(F.transform(lines, lambda x: F.when(F.length(x) <= width, F.array(x)).otherwise(F.transform(F.regexp_extract_all(x, F.lit(pattern), F.lit(0)), strip))))
+def cut_lines(lines: Column, width: int | Column) -> Column:
+    """Lines longer than width are cut into pieces of that many characters at most: before the last blank within the width,
+    or in the middle of a word that fills it; white space around a cut goes. What is left at the end stays whole."""
+    w = (F.lit(width) if isinstance(width, int) else width).cast("string")
+    less = (F.lit(width) if isinstance(width, int) else width) - 1
+    pattern = F.concat(F.lit(r"(?s)\s*(.{1,"), w, F.lit(r"}\z|.{1,"), F.greatest(less, F.lit(1)).cast("string"), F.lit("}(?= )|.{1,"), w, F.lit("})"))
+    pieces = lambda x: F.filter(F.transform(F.regexp_extract_all(x, pattern, F.lit(1)), lambda p: F.regexp_replace(p, r"\s+$", "")), lambda p: p != "")
+    return F.flatten(F.transform(lines, lambda x: F.when(F.length(x) <= width, F.array(x)).otherwise(pieces(x))))
 
 
-def pack_lines(lines: Column, budget: int, joiner: str = "\n") -> Column:
+def pack_lines(lines: Column, budget: int | Column, joiner: str = "\n") -> Column:
     """Greedy: a line goes to the current segment if it still fits, else it opens the next. A fold over the lines."""
     kind = "struct<done:array<string>,now:string>"
     start = F.struct(F.array().cast("array<string>").alias("done"), F.lit(None).cast("string").alias("now")).cast(kind)
@@ -74,12 +79,17 @@ def actions_text(immediate: Column, titles: Column) -> Column:
 
 def chunks(df: DataFrame, key: str, identity: Column, metadata: Column, factors: Column, narrative: Column, causes: Column, actions: Column, floor: int = 40, budget: int = 1800) -> DataFrame:
     """(key, chunk, kind, text) of a record: the sheet, its overflow under the metadata line (the identity without any),
-    then a chunk of its causes and one of its actions. Below `floor` characters there is no sheet."""
+    then a chunk of its causes and one of its actions. Below `floor` characters there is no sheet.
+
+    A record longer than the budget is packed line by line into segments that, with the prefix and its line end, stay
+    within it; the first stands under the whole head instead, which does not count. A prefix that leaves no room lets
+    single characters through."""
     head = F.concat_ws("\n", present(identity), present(metadata), present(factors))
     lines = F.filter(narrative, lambda x: x.isNotNull() & (x != ""))
     whole = F.concat_ws("\n", head, F.nullif(F.array_join(lines, "\n"), F.lit("")))
     prefix = F.coalesce(present(metadata), present(identity), F.lit(""))
-    packed = pack_lines(cut_lines(lines, budget // 2), budget // 2)
+    room = F.greatest(F.lit(1), F.lit(budget) - F.length(prefix) - 1)
+    packed = pack_lines(cut_lines(lines, room), room)
     parts = F.transform(packed, lambda x, i: F.struct(F.when(i == 0, "sheet").otherwise("long narrative").alias("kind"), F.concat_ws("\n", F.when(i == 0, head).otherwise(prefix), x).alias("text")))
     kind = "array<struct<kind:string,text:string>>"
     sheet = F.when(F.length(whole) < floor, F.array().cast(kind)).when(F.length(whole) <= budget, F.array(F.struct(F.lit("sheet").alias("kind"), whole.alias("text"))).cast(kind)).otherwise(parts.cast(kind))
@@ -125,13 +135,40 @@ def table_rows(df: DataFrame, text: str) -> DataFrame:
     return rows.withColumn("cells", F.transform(F.split(F.regexp_replace("_l", r"^\|+|\|+$", ""), r"\|"), strip)).drop("_l")
 
 
-def continued(rows: DataFrame, key: list[str], order: str, label: Column, field: Column, value: Column, skip: Column) -> DataFrame:
-    """(key, field, value): a row with an empty label adds to the last known field; an unknown label ends it; rows of
-    `skip` change nothing. Values are joined by blank lines, lists among them too."""
+def bulletin_fields(rows: DataFrame, key: list[str], order: str = "line", cells: str = "cells", aliases: dict[str, str] = domain.LABELS, markers: tuple[str, ...] = domain.MARKED_LABELS, lists: tuple[str, ...] = domain.LIST_FIELDS) -> DataFrame:
+    """(key, field, extra, value, items) of the rows of a bulletin's tables: the first cell labels what the others say.
+
+    A known label fills its field, under a heading of its own if it is one of `markers`, and texts of a field are joined by
+    blank lines; fields of `lists` gather items instead. A row without a label goes on with the last known field, unless
+    it only repeats the page's heading or is an image. An unknown label that says something is kept as an extra under
+    its own name, the last text of each, and ends the field; one that says nothing, an implausible label and the
+    standard notices change nothing. Bulletins are read each as a whole, in one window.
+    """
+    first, right = strip(F.get(cells, F.lit(0))), strip(F.array_join(F.filter(F.slice(cells, 2, F.greatest(F.size(cells) - 1, F.lit(0))), lambda c: c != ""), " "))
+    r = rows.withColumn("_left", F.coalesce(first, F.lit(""))).withColumn("_right", F.coalesce(right, F.lit(""))).withColumn("_label", label_key(F.col("_left")))
+    none, says = F.col("_left") == "", F.col("_right") != ""
+    ignored = F.lit(False)
+    for p in domain.IGNORED_LABELS:
+        ignored = ignored | F.col("_label").startswith(p)
+    heading = F.lit(False)
+    for h in domain.PAGE_HEADINGS:
+        heading = heading | F.lower("_right").contains(h)
+    noise = (heading & (F.length("_right") < 150)) | (F.col("_right").startswith("![") & F.col("_right").endswith(")"))
+    labels = ~none & plausible_label(F.col("_left")) & ~ignored
+    known = alias(F.col("_label"), aliases)
+    extra = labels & known.isNull() & says
+    mark = F.when(labels & known.isNotNull(), known).when(extra, F.lit("\u0000"))
     w = Window.partitionBy(*key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    mark = F.when(skip, F.lit(None)).when(label != "", F.coalesce(field, F.lit("\u0000")))
-    known = rows.withColumn("field", F.last(mark, ignorenulls=True).over(w)).withColumn("_v", value).filter(~skip & (F.col("field") != "\u0000") & (F.col("_v") != ""))
-    return known.groupBy(*key, "field").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(order, "_v"))), lambda x: x["_v"]), "\n\n").alias("value"))
+    r = r.withColumn("_field", F.last(mark, ignorenulls=True).over(w)).withColumn("_extra", extra)
+    named = labels & known.isNotNull() & F.col("_label").isin(*markers)
+    block = F.when(named, F.concat(F.lit("## "), strip(F.regexp_replace("_left", ":+$", "")), F.lit("\n\n"), F.col("_right"))).otherwise(F.col("_right"))
+    goes_on = none & ~noise & (F.col("_field") != "\u0000")
+    said = r.filter(says & (extra | (labels & known.isNotNull()) | goes_on)).select(*key, F.when(F.col("_extra"), F.col("_label")).otherwise(F.col("_field")).alias("field"), F.col("_extra").alias("extra"), F.struct(F.col(order).alias("at"), block.alias("text"), F.col("_right").alias("raw")).alias("x"))
+    told = said.groupBy(*key, "field", "extra").agg(F.sort_array(F.collect_list("x")).alias("xs"))
+    items = F.flatten(F.transform("xs", lambda x: split_operators(x["raw"])))
+    is_list = ~F.col("extra") & F.col("field").isin(*lists)
+    value = F.when(F.col("extra"), F.element_at("xs", -1)["raw"]).when(~is_list, F.array_join(F.transform("xs", lambda x: x["text"]), "\n\n"))
+    return told.select(*key, "field", "extra", value.alias("value"), F.when(is_list, items).alias("items"))
 
 
 #: How a bulletin states its version and the bulletins that it replaces.

@@ -17,7 +17,7 @@ _STRIP = "trim({}, E' \\n\\t\\r\\f\\x0B')"
 # predicates and golden questions
 
 _BASES = {"thewh": "the.*wh", "tion": "tion", "keit": "keit"}
-_DISCS = {("source", "web"): "source = 'web'", ("source", "books"): "source = 'books'", ("lang", "en"): "lang = 'en'", ("lang", "fr"): "lang = 'fr'", ("length", "long"): "n_chars > 2000", ("length", "short"): "n_chars < 300"}
+_DISCS = {("source", "src1"): "source = 'src1'", ("source", "src2"): "source = 'src2'", ("lang", "en"): "lang = 'en'", ("lang", "fr"): "lang = 'fr'", ("length", "long"): "n_chars > 2000", ("length", "short"): "n_chars < 300"}
 _ONE_LINE = "trim(regexp_replace(strip_accents(lower({})), '\\s+', ' ', 'g'))"
 _B = "[x for x in [" + ", ".join(f"CASE WHEN regexp_matches({_ONE_LINE.format('text')}, '{p}') THEN '{n}' END" for n, p in _BASES.items()) + "] if x IS NOT NULL]"
 _D = "[x for x in [" + ", ".join(f"CASE WHEN {c} THEN {{'category': '{k}', 'discriminant': '{n}'}} END" for (k, n), c in _DISCS.items()) + "] if x IS NOT NULL]"
@@ -29,9 +29,9 @@ def compound_predicates(spark, sf):
     return golden.compound_counts(_Tables(spark, sf).documents, bases, {k: F.expr(c) for k, c in _DISCS.items()})
 
 
-@query(rf"SELECT doc_id FROM documents WHERE regexp_matches(trim(regexp_replace({_FOLDED.format("concat_ws(' ', source, text)")}, '\s+', ' ', 'g')), 'web .*the (st|wh)')")
+@query(rf"SELECT doc_id FROM documents WHERE regexp_matches(trim(regexp_replace({_FOLDED.format("concat_ws(' ', source, text)")}, '\s+', ' ', 'g')), 'src1.* .*the (st|wh)')")
 def content_predicate(spark, sf):
-    return _Tables(spark, sf).documents.filter(golden.content([F.col("source"), F.col("text")], "web .*the (st|wh)")).select("doc_id")
+    return _Tables(spark, sf).documents.filter(golden.content([F.col("source"), F.col("text")], "src1.* .*the (st|wh)")).select("doc_id")
 
 
 @query("SELECT p_partkey FROM part WHERE contains(p_name, 'ring') OR contains(p_name, 'red') OR contains(p_type, 'ring') OR contains(p_type, 'red')")
@@ -360,11 +360,19 @@ def _sheets(spark, sf):
         documents.causes_text({"Milieu": F.when(k % 4 == 0, F.lit("bruit")), "Méthode": F.lit(None).cast("string")}).alias("causes"), documents.actions_text(F.when(k % 6 == 0, F.lit("bag")), F.when(k % 7 == 0, F.array(F.lit("a"), F.lit("b"))).otherwise(F.array().cast("array<string>"))).alias("actions"))
 
 
-@query(f"""WITH {_SHEETS}, w AS (SELECT *, concat_ws(E'\\n', identity, meta, fact, story) AS doc FROM sh), c AS (SELECT o_orderkey, [x for x in [CASE WHEN length(doc) >= 30 THEN {{'kind': 'sheet', 'text': doc}} END, CASE WHEN causes IS NOT NULL THEN {{'kind': 'cause', 'text': causes}} END, CASE WHEN actions IS NOT NULL THEN {{'kind': 'action', 'text': actions}} END] if x IS NOT NULL] AS l FROM w)
+#: Three lines of a record's story, long enough that records overflow in each of the possible ways.
+_LINES = ("'Description : ' || repeat('mot ', (o_orderkey % 40 * 5)::INTEGER) || 'fin'", "'Suite : ' || repeat('abc ', (o_orderkey % 23 * 14)::INTEGER) || 'fin'", "'Reste : ' || repeat('z ', (o_orderkey % 31 * 20)::INTEGER) || 'fin'")
+
+
+@query(f"""WITH {_SHEETS}, l AS (SELECT *, {', '.join(f'{x} AS l{n}' for n, x in enumerate(_LINES, 1))} FROM sh), w AS (SELECT *, concat_ws(E'\\n', identity, meta, fact) AS head, coalesce(meta, identity) AS prefix, concat_ws(E'\\n', l1, l2, l3) AS body FROM l),
+    m AS (SELECT *, 1800 - length(prefix) - 1 AS room, length(head) + 1 + length(body) AS whole FROM w),
+    s AS (SELECT *, CASE WHEN whole <= 1800 THEN [body] WHEN length(body) <= room THEN [body] WHEN length(l1) + 1 + length(l2) <= room THEN [l1 || E'\\n' || l2, l3] WHEN length(l2) + 1 + length(l3) <= room THEN [l1, l2 || E'\\n' || l3] ELSE [l1, l2, l3] END AS parts FROM m),
+    c AS (SELECT o_orderkey, [{{'kind': CASE WHEN i = 1 THEN 'sheet' ELSE 'long narrative' END, 'text': CASE WHEN i = 1 THEN head ELSE prefix END || E'\\n' || parts[i]}} for i in range(1, len(parts) + 1)] || [x for x in [CASE WHEN causes IS NOT NULL THEN {{'kind': 'cause', 'text': causes}} END, CASE WHEN actions IS NOT NULL THEN {{'kind': 'action', 'text': actions}} END] if x IS NOT NULL] AS l FROM s)
     SELECT o_orderkey, (generate_subscripts(l, 1) - 1)::INTEGER AS chunk, unnest(l, recursive := true) FROM c""")
 def record_chunks(spark, sf):
     c = [F.col(x) for x in ("identity", "meta", "fact")]
-    return documents.chunks(_sheets(spark, sf), "o_orderkey", *c, F.array("story"), F.col("causes"), F.col("actions"), floor=30)
+    lines = F.array(*[F.expr(x.replace("::INTEGER", "").replace("(o_orderkey", "int(o_orderkey")) for x in _LINES])
+    return documents.chunks(_sheets(spark, sf), "o_orderkey", *c, lines, F.col("causes"), F.col("actions"), floor=30)
 
 
 @query(f"WITH {_SHEETS} SELECT o_orderkey, concat_ws(E'\\n', identity, meta, fact, story) AS document FROM sh")

@@ -108,9 +108,8 @@ def test_documents(spark):
     d = spark.createDataFrame([(1, "before\n## A 1\nx\n## B 2\ny")], "id long, t string")
     assert [(r.header, r.body) for r in documents.thread(d, "t", "## [A-Z] [0-9]").orderBy("entry").collect()] == [(None, "before"), ("## A 1", "x"), ("## B 2", "y")]
     md = spark.createDataFrame([(1, "| Objet | Bruit |\n|---|---|\n| | suite |\n| Inconnu | z |\n| | perdu |\n| Date | 2020 |\n\n" + "fin " * 30)], "id long, t string")
-    rows = documents.table_rows(md, "t").withColumn("label", F.lower(F.col("cells")[0]))
-    got = documents.continued(rows, ["id"], "line", F.col("label"), text.alias(F.col("label"), {"objet": "object", "date": "date"}), F.col("cells")[1], F.lit(False))
-    assert {r.field: r.value for r in got.collect()} == {"object": "Bruit\n\nsuite", "date": "2020"}
+    got = documents.bulletin_fields(documents.table_rows(md, "t"), ["id"], aliases={"objet": "object", "date": "date"})
+    assert {(r.field, r.extra): r.value for r in got.collect()} == {("object", False): "Bruit\n\nsuite", ("inconnu", True): "z", ("date", False): "2020"}
     assert md.select(documents.after_tables(F.col("t")).alias("r")).first().r == ("fin " * 30).strip()
     version, when = documents.version_footer(F.lit("Version n°3 du 10 février 2024"))
     assert one(spark, version) == 3 and one(spark, when) == "10 février 2024"

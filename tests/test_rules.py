@@ -1,5 +1,6 @@
 """Operators against literal rows worked out from their rules, and queries without SQL against plain versions."""
 
+import random
 import re
 
 import pyspark.sql.functions as F
@@ -119,11 +120,44 @@ def test_question_filters(spark):
     assert [(x.field, x.value) for x in got] == [("year", "2019"), ("kind", "FOD"), ("stand", "C83")]
 
 
+def _cut(line, width):
+    """The rule of cutting, by a loop."""
+    out = [line]
+    while len(out[-1]) > width:
+        head = out[-1]
+        at = head.rfind(" ", 0, width)
+        at = at if at > 0 else width
+        out[-1:] = [head[:at].rstrip(), head[at:].lstrip()]
+    return out
+
+
+def _segments(lines, prefix, budget):
+    out, now, size = [], [], len(prefix)
+    for line in lines:
+        for m in _cut(line, budget - len(prefix)):
+            if now and size + 1 + len(m) > budget:
+                out.append("\n".join(now))
+                now, size = [], len(prefix)
+            now.append(m)
+            size += (1 if len(now) > 1 else 0) + len(m)
+    return [*out, "\n".join(now)] if now else out
+
+
 def test_long_records_overflow(spark):
-    d = spark.createDataFrame([(1, ["mot " * 60] * 3)], "id long, n array<string>")
-    got = documents.chunks(d, "id", F.lit("Fiche 1"), F.lit("meta"), F.lit(None), F.col("n"), F.lit(None).cast("string"), F.lit("acte"), budget=600).collect()
-    assert [r.kind for r in got] == ["sheet", "long narrative", "long narrative", "action"] and got[0].text.startswith("Fiche 1\nmeta\nmot") and got[1].text.startswith("meta\nmot")
-    assert all(len(r.text) <= 600 for r in got) and sum(r.text.count("mot") for r in got) == 180
+    r = random.Random(4)
+    stories = [["mot " * 60] * 3, ["x" * 1700, "y" * 90], ["a" * 700] * 3, [" ".join("w" * r.randrange(1, 30) for _ in range(200)).strip() for _ in range(3)], ["z" * 5000, "b c"], ["k " * 1200 + "end"]]
+    d = spark.createDataFrame([(i, [x.strip() for x in s]) for i, s in enumerate(stories)], "id long, n array<string>")
+    for meta, budget in (("meta", 600), ("meta", 1800), (None, 1800), ("m" * 500, 600)):
+        got = documents.chunks(d, "id", F.lit("Fiche 1"), F.lit(meta).cast("string"), F.lit(None), F.col("n"), F.lit(None).cast("string"), F.lit("acte"), budget=budget).collect()
+        for i, s in enumerate(stories):
+            head, prefix = "Fiche 1" + (f"\n{meta}" if meta else ""), meta or "Fiche 1"
+            body = [x.strip() for x in s]
+            whole = "\n".join([head, *body])
+            parts = [whole] if len(whole) <= budget else [f"{head if k == 0 else prefix}\n{x}" for k, x in enumerate(_segments(body, prefix + "\n", budget))]
+            own = sorted((x for x in got if x.id == i), key=lambda x: x.chunk)
+            assert [x.text for x in own] == [*parts, "acte"] and [x.kind for x in own] == ["sheet", *["long narrative"] * (len(parts) - 1), "action"]
+    tight = documents.chunks(d.filter("id = 2"), "id", F.lit("Fiche 1"), F.lit("p" * 700), F.lit(None), F.array(F.lit("abc def")), F.lit(None).cast("string"), F.lit(None).cast("string"), budget=600).collect()
+    assert [x.text[-1] for x in tight] == list("abcdef")  # no room: single characters go through
 
 
 def test_upserts_touch_few_buckets_and_can_be_repeated(spark, tmp_path):
