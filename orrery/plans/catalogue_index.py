@@ -7,10 +7,10 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import containment, terms, vector_index
+from ..operators import containment, search, stores, terms, vector_index
 from ..sources import sinks
 from ..streaming.embedding_cache import EmbeddingCache
-from .catalogue import WORDS, _SCORED, _Tables, query
+from .catalogue import WORDS, _SCORED, _scored, _Tables, query
 
 
 def _folder(spark, label: str) -> str:
@@ -88,3 +88,54 @@ def embedding_cache_runs(spark, sf):
     runs = [cache.fill(d.filter("doc_id % 3 > 0")), cache.fill(d), cache.fill(d)]
     weighted = F.aggregate(F.zip_with("vector", F.array(*map(F.lit, (1, 2, 3, 4))), lambda x, w: x * w), F.lit(0.0), lambda s, x: s + x)
     return cache.embedded(d).select("doc_id", weighted.alias("weighted"), *[F.lit(n).cast("long").alias(c) for n, c in zip(runs, ("first_run", "second_run", "third_run"))])
+
+
+# stores: payloads apart from vectors, keys checked on write, schemas by module
+
+@query("""SELECT vec_id, CASE WHEN label % 5 = 0 THEN NULL WHEN vec_id % 3 = 0 THEN 'patched' ELSE 'kind ' || label END AS kind, CASE WHEN vec_id % 7 = 0 THEN vec_id END AS place, (round(embedding[1]::DOUBLE * 1000)::BIGINT + round(embedding[64]::DOUBLE * 1000)::BIGINT) AS ends FROM embeddings""")
+def patched_points(spark, sf):
+    """Points whose payload is patched twice and purged once."""
+    e = _Tables(spark, sf).embeddings
+    store = stores.PointStore(spark, _folder(spark, "points"), "vec_id", "long", "kind string, place long, label int")
+    store.add(e.select("vec_id", F.col("embedding").alias("vector"), F.concat(F.lit("kind "), F.col("label").cast("string")).alias("kind"), F.lit(None).cast("long").alias("place"), "label"))
+    store.patch(e.filter("vec_id % 3 = 0").select("vec_id", F.lit("patched").alias("kind")))
+    store.patch(e.filter("vec_id % 7 = 0").select("vec_id", F.col("vec_id").alias("place")))
+    store.purge(["kind"], F.col("label") % 5 == 0)
+    ends = sum((F.round(F.get("vector", F.lit(i)) * 1000).cast("long") for i in (0, 63)), F.lit(0).cast("long"))
+    return store.points().select("vec_id", "kind", "place", ends.alias("ends"))
+
+
+@query("""WITH b AS (SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey % 4 = 0 UNION ALL SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey % 4 > 1 UNION ALL SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey % 6 = 3)
+    SELECT CASE WHEN c_custkey % 4 = 0 THEN 'known key' WHEN n > 1 THEN 'repeated key' ELSE 'written' END AS outcome, count(*) AS n, sum(c_custkey)::BIGINT AS keys FROM (SELECT *, count(*) OVER (PARTITION BY c_custkey) AS n FROM b) GROUP BY 1
+    UNION ALL SELECT 'first batch', count(*), sum(c_custkey)::BIGINT FROM customer WHERE c_custkey % 4 = 0""")
+def constrained_batches(spark, sf):
+    """A first batch, then one with keys of the first, keys of its own, and keys that it repeats."""
+    c = _Tables(spark, sf).customer.select("c_custkey", "c_mktsegment")
+    table = stores.KeyedTable(spark, _folder(spark, "keyed"), "c_custkey", "long")
+    table.append(c.filter("c_custkey % 4 = 0"))
+    first = table.rows().withColumn("outcome", F.lit("first batch"))
+    first = sinks.written(first, "first-batch")
+    second = c.filter("c_custkey % 4 = 0").unionByName(c.filter("c_custkey % 4 > 1")).unionByName(c.filter("c_custkey % 6 = 3"))
+    table.append(second)
+    new = table.rows().join(first.select("c_custkey"), "c_custkey", "left_anti").withColumn("outcome", F.lit("written"))
+    every = first.unionByName(new).unionByName(table.quarantine().withColumnRenamed("reason", "outcome"))
+    return every.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"), F.sum("c_custkey").alias("keys"))
+
+
+@query("SELECT p_brand AS module, p_partkey AS place, CASE WHEN p_brand < 'Brand#3' THEN 'new' ELSE 'old' END AS label FROM part WHERE p_brand >= 'Brand#3' OR p_partkey % 2 = 0")
+def published_fields(spark, sf):
+    """Fields of every module, then of some modules again, without half of them."""
+    p = _Tables(spark, sf).part.select(F.col("p_brand").alias("module"), F.col("p_partkey").alias("place"))
+    path = _folder(spark, "published")
+    stores.publish(p.withColumn("label", F.lit("old")), path)
+    stores.publish(p.filter("module < 'Brand#3' and place % 2 = 0").withColumn("label", F.lit("new")), path)
+    return spark.read.parquet(path).select(F.col("module").cast("string").alias("module"), "place", "label")
+
+
+@query(f"""WITH {_SCORED}, r AS (SELECT query_id, owner, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, id) AS rank FROM s), f AS (SELECT query_id, owner, count(*) AS n FROM r WHERE rank <= 20 GROUP BY ALL),
+    a AS (SELECT list(label ORDER BY n DESC, label)[1:3] AS al FROM (SELECT label, count(*) AS n FROM embeddings GROUP BY 1)), o AS (SELECT query_id, sum(n)::BIGINT AS n, list(owner ORDER BY n DESC, owner)[1:3] AS own FROM f GROUP BY 1)
+    SELECT query_id, n, n AS n_told, own[1] AS first, own[1] = al[1] AS first_right, own = al AS top_right FROM o, a""")
+def sample_rankings(spark, sf):
+    """Labels among the 20 best of every query, ranked, against the ranking of all labels."""
+    found = search.top_rows(_scored(spark, sf), 20, 6).withColumnRenamed("owner", "label")
+    return stores.sample_against_population(found, _Tables(spark, sf).embeddings, "label")

@@ -1,5 +1,6 @@
 """Containment by trigrams, dictionaries, the vector index and the embedding cache against plain versions."""
 
+import os
 import random
 import re
 import uuid
@@ -9,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orrery.functions import text
-from orrery.operators import containment, terms, vector_index
+from orrery.operators import containment, stores, terms, vector_index
 from orrery.plans import catalogue, catalogue_index
 from orrery.sources import sinks
 from orrery.streaming.embedding_cache import EmbeddingCache, content_digest
@@ -190,3 +191,63 @@ def test_cache_computes_each_content_once(spark):
 def test_recall_of_the_registered_index(spark):
     got = catalogue_index.indexed_topk_recall(spark, SF).agg(F.sum("hits") / F.sum("n")).first()[0]
     assert got >= 0.9
+
+
+# --- stores
+
+def _files(path):
+    return {os.path.join(d, f): os.path.getmtime(os.path.join(d, f)) for d, _, names in os.walk(path.removeprefix("file:").replace("///", "/")) for f in names if f.endswith(".parquet")}
+
+
+def test_a_patch_leaves_the_vectors_files_alone(spark, tmp_path):
+    store = stores.PointStore(spark, str(tmp_path / "points"), "id", "long", "a string, b long", buckets=4)
+    rows = [(i, [float(i), 1.0], f"a{i}", None) for i in range(40)] + [(None, [0.0], "no key", 1), (3, [9.0], "again", 1)]
+    store.add(spark.createDataFrame(rows, "id long, vector array<double>, a string, b long").coalesce(1))
+    before = _files(str(tmp_path / "points/vectors"))
+    store.patch(spark.createDataFrame([(1, "x"), (2, None), (99, "unknown")], "id long, a string"))
+    store.patch(spark.createDataFrame([(i, i) for i in range(10)], "id long, b long"))
+    store.purge(["a"], F.col("b") > 5)
+    assert _files(str(tmp_path / "points/vectors")) == before and before
+    got = {r.id: (r.vector, r.a, r.b) for r in store.points().collect()}
+    want = {i: ([float(i), 1.0], None if 5 < i < 10 else {1: "x"}.get(i, f"a{i}"), i if i < 10 else None) for i in range(40)}
+    assert {i: (v, a, b) for i, (v, a, b) in got.items() if i != 3} == {i: x for i, x in want.items() if i != 3} and len(got) == 40
+    assert sorted(os.listdir(tmp_path / "points/payload")) == ["3", "4"]  # the last two versions
+    plan = store.points()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan.replace("BroadcastExchange", "")
+    store.add(spark.createDataFrame([(5, [0.0], "ignored", 0), (50, [5.0], "new", 7)], "id long, vector array<double>, a string, b long"))
+    again = {r.id: (r.vector, r.a, r.b) for r in store.points().collect()}
+    assert again == {**got, 50: ([5.0], "new", 7)}
+
+
+def test_keys_are_checked_on_write(spark, tmp_path):
+    table = stores.KeyedTable(spark, str(tmp_path / "keyed"), "k", "string", buckets=4)
+    frame = lambda rows: spark.createDataFrame(rows, "k string, v long")
+    assert table.append(frame([("a", 1), ("b", 2)])) == 2
+    assert table.append(frame([("a", 9), ("c", 3), ("d", 4), ("d", 5), (None, 6)])) == 1
+    assert sorted((r.k, r.v) for r in table.rows().collect()) == [("a", 1), ("b", 2), ("c", 3)]
+    assert sorted((r.reason, str(r.k), r.v) for r in table.quarantine().collect()) == [("known key", "a", 9), ("no key", "None", 6), ("repeated key", "d", 4), ("repeated key", "d", 5)]
+    with pytest.raises(ValueError, match="known key"):
+        table.append(frame([("b", 1), ("e", 1)]), refuse=True)
+    assert table.rows().count() == 3 and table.pending().count() == 0
+    frame([("late", 8)]).write.mode("append").parquet(str(tmp_path / "keyed/rows"))  # as if the run had died before its keys
+    assert [r.k for r in table.pending().collect()] == ["late"]
+    assert table.append(frame([]).limit(0)) == 0
+    plan = table.checked(frame([("a", 1)]))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 1 and "keys" in plan  # the rows themselves are not read
+
+
+def test_publishing_one_module_again(spark, tmp_path):
+    frame = lambda rows: spark.createDataFrame(rows, "module string, key string")
+    path = str(tmp_path / "published")
+    stores.publish(frame([("a", "x"), ("a", "y"), ("b", "x"), ("b", "z")]), path)
+    untouched = {f: t for f, t in _files(path).items() if "module=a" in f}
+    stores.publish(frame([("b", "x"), ("b", "new")]), path)
+    assert sorted((r.module, r.key) for r in spark.read.parquet(path).collect()) == [("a", "x"), ("a", "y"), ("b", "new"), ("b", "x")]
+    assert {f: t for f, t in _files(path).items() if "module=a" in f} == untouched
+
+
+def test_sample_against_population(spark):
+    everything = spark.createDataFrame([(k,) for k in ["a"] * 5 + ["b"] * 3 + ["c"] * 3 + ["d", None]], "kind string")
+    found = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (1, "c"), (2, "b"), (2, "b"), (2, "a"), (3, None), (4, "a"), (4, None)], "query_id long, kind string")
+    got = {r.query_id: tuple(r)[1:] for r in stores.sample_against_population(found, everything, "kind").collect()}
+    assert got == {1: (4, 4, "a", True, True), 2: (3, 3, "b", False, False), 3: (1, 0, None, False, False), 4: (2, 1, "a", True, False)}
