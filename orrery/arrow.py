@@ -6,7 +6,7 @@ import os
 import tempfile
 import zipfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
@@ -25,9 +25,9 @@ def give_back() -> None:
         trim(0)
 
 
-def arrow_map(df: DataFrame, run, schema) -> DataFrame:
-    """mapInArrow, with this package sent to the executors once per application; each task gives its memory back."""
-    context = df.sparkSession.sparkContext
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once per application."""
+    context = spark.sparkContext
     if context.applicationId not in _shipped:
         package = os.path.dirname(os.path.abspath(__file__))
         archive = f"{tempfile.mkdtemp(prefix='orrery-')}/{os.path.basename(package)}-package.zip"  # stays: executors fetch it later
@@ -39,6 +39,11 @@ def arrow_map(df: DataFrame, run, schema) -> DataFrame:
         context.addPyFile(archive)
         _shipped.add(context.applicationId)
 
+
+def arrow_map(df: DataFrame, run, schema) -> DataFrame:
+    """mapInArrow, with this package sent to the executors; each task gives its memory back."""
+    ship(df.sparkSession)
+
     def tidied(batches):
         try:
             yield from run(batches)

@@ -7,9 +7,10 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import containment, search, stores, terms, vector_index
+from ..operators import containment, graph, search, stores, terms, vector_index
 from ..sources import sinks
 from ..streaming.embedding_cache import EmbeddingCache
+from . import table_functions
 from .catalogue import WORDS, _SCORED, _scored, _Tables, query
 
 
@@ -139,3 +140,28 @@ def sample_rankings(spark, sf):
     """Labels among the 20 best of every query, ranked, against the ranking of all labels."""
     found = search.top_rows(_scored(spark, sf), 20, 6).withColumnRenamed("owner", "label")
     return stores.sample_against_population(found, _Tables(spark, sf).embeddings, "label")
+
+
+# table functions, called in SQL; tests hold them against the DataFrame functions
+
+def _sql(spark, sf, table: str, statement: str):
+    table_functions.register(spark)
+    return spark.sql(statement, t=_Tables(spark, sf).__getattr__(table))
+
+
+@query()
+def sql_html_chunks(spark, sf):
+    return _sql(spark, sf, "pages", "SELECT page_id, c.* FROM {t}, LATERAL html_chunks(html, 1500, 25) c")
+
+
+@query()
+def sql_packed_lines(spark, sf):
+    return _sql(spark, sf, "documents", "SELECT doc_id, s.* FROM {t}, LATERAL packed_lines(split(text, '\\n'), 1800) s")
+
+
+@query("SELECT property, bool_or(t = 'a') AS in_a, bool_or(t = 'b') AS in_b FROM (SELECT DISTINCT unnest(json_keys(props)) AS property, 'a' AS t FROM events WHERE event_type IN ('click', 'view') UNION ALL SELECT DISTINCT unnest(json_keys(props)), 'b' FROM events WHERE event_id % 2 = 0) GROUP BY 1")
+def property_presence(spark, sf):
+    """Properties that the rows of two exports hold, told from the rows' JSON."""
+    e = _Tables(spark, sf).events
+    names = lambda d: d.select(F.explode(F.json_object_keys("props")).alias("property"))
+    return graph.property_differences(names(e.filter("event_type in ('click', 'view')")), names(e.filter("event_id % 2 = 0")))

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orrery.functions import text
-from orrery.operators import containment, stores, terms, vector_index
+from orrery.operators import containment, documents, html, stores, terms, vector_index
 from orrery.plans import catalogue, catalogue_index
 from orrery.sources import sinks
 from orrery.streaming.embedding_cache import EmbeddingCache, content_digest
@@ -251,3 +251,16 @@ def test_sample_against_population(spark):
     found = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (1, "c"), (2, "b"), (2, "b"), (2, "a"), (3, None), (4, "a"), (4, None)], "query_id long, kind string")
     got = {r.query_id: tuple(r)[1:] for r in stores.sample_against_population(found, everything, "kind").collect()}
     assert got == {1: (4, 4, "a", True, True), 2: (3, 3, "b", False, False), 3: (1, 0, None, False, False), 4: (2, 1, "a", True, False)}
+
+
+# --- table functions
+
+def test_table_functions_give_the_rows_of_the_dataframe_functions(spark):
+    pages, docs = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("pages", "documents"))
+    rows = lambda df: Counter(map(tuple, df.collect()))
+    assert rows(catalogue_index.sql_html_chunks(spark, SF)) == rows(html.chunks(pages, "html", "page_id"))
+    want = documents.segments(docs.select("doc_id", "text"), F.split("text", "\n"), 1800).select("doc_id", "segment", "text")
+    assert rows(catalogue_index.sql_packed_lines(spark, SF)) == rows(want)
+    odd = spark.sql("SELECT s.* FROM (SELECT array('ab cd efghij', null, '', 'k') AS l UNION ALL SELECT null) t, LATERAL packed_lines(l, 4) s")
+    assert rows(odd) == Counter([(0, "ab"), (1, "cd"), (2, "efgh"), (3, "ij\nk")])
+    assert spark.sql("SELECT c.* FROM (SELECT CAST(NULL AS STRING) AS h) t, LATERAL html_chunks(h, 1500, 25) c").count() == 0
