@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import cosine, dot, hash_order
+from ..sources.sinks import written
 
 
 def keep_rows(must: Column | None = None, must_not: Column | None = None) -> Column:
@@ -59,15 +60,18 @@ def judged(scored: DataFrame, relevant: Column, k: int, digits: int = 9) -> tupl
     it lies deeper, the first relevant row; truth has n_relevant per query.
 
     The first relevant row's rank is 1 + the number of better rows, an aggregate, so that no query's rows are sorted as
-    a whole; the k best are cut in every partition before the shuffle.
+    a whole; the k best are cut in every partition before the shuffle. Both tables have a few rows a query and are
+    written, so `scored` is worked out three times whatever is made of them: for what is relevant, for the k best, and for
+    the rows that are better than the first relevant one.
     """
     s = scored.withColumn("relevant", relevant.cast("int")).withColumn("score", F.round("score", digits))
-    truth = s.groupBy("query_id").agg(F.sum("relevant").alias("n_relevant"))
-    best = s.filter("relevant = 1").groupBy("query_id").agg(F.min(F.struct((-F.col("score")).alias("s"), "id")).alias("_b"))
-    better = s.join(best, "query_id").filter((-F.col("score") < F.col("_b.s")) | ((-F.col("score") == F.col("_b.s")) & (F.col("id") < F.col("_b.id"))))
-    deep = best.join(better.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")), "query_id", "left").select("query_id", F.col("_b.id").alias("id"), (F.coalesce("n", F.lit(0)) + 1).cast("int").alias("rank"), F.lit(1).alias("relevant"))
+    place = F.struct((-F.col("score")).alias("s"), F.col("id").alias("id"))
+    told = written(s.groupBy("query_id").agg(F.sum("relevant").alias("n_relevant"), F.min(F.when(F.col("relevant") == 1, place)).alias("_b")), "judged-truth")
+    best = told.filter("_b is not null").select("query_id", "_b")
+    better = s.join(F.broadcast(best) if best.count() <= 1000 else best, "query_id").filter(place < F.col("_b")).groupBy("query_id").agg(F.count(F.lit(1)).alias("n"))
+    deep = best.join(better, "query_id", "left").select("query_id", F.col("_b.id").alias("id"), (F.coalesce("n", F.lit(0)) + 1).cast("int").alias("rank"), F.lit(1).alias("relevant"))
     top = top_rows(s, k, digits).select("query_id", "id", "rank", "relevant")
-    return top.unionByName(deep.filter(F.col("rank") > k)), truth
+    return written(top.unionByName(deep.filter(F.col("rank") > k)), "judged-rows"), told.select("query_id", "n_relevant")
 
 
 def per_type_sample(rows: DataFrame, key: str, kind: str, targets: list[str], per_type: int, others: int, least: int = 5, seed: int = 0) -> DataFrame:
