@@ -84,17 +84,19 @@ def chunks(df: DataFrame, key: str, identity: Column, metadata: Column, factors:
     A record longer than the budget is packed line by line into segments that, with the prefix and its line end, stay
     within it; the first stands under the whole head instead, which does not count. A prefix that leaves no room lets
     single characters through."""
-    head = F.concat_ws("\n", present(identity), present(metadata), present(factors))
-    lines = F.filter(narrative, lambda x: x.isNotNull() & (x != ""))
-    whole = F.concat_ws("\n", head, F.nullif(F.array_join(lines, "\n"), F.lit("")))
-    prefix = F.coalesce(present(metadata), present(identity), F.lit(""))
-    room = F.greatest(F.lit(1), F.lit(budget) - F.length(prefix) - 1)
-    packed = pack_lines(cut_lines(lines, room), room)
-    parts = F.transform(packed, lambda x, i: F.struct(F.when(i == 0, "sheet").otherwise("long narrative").alias("kind"), F.concat_ws("\n", F.when(i == 0, head).otherwise(prefix), x).alias("text")))
     kind = "array<struct<kind:string,text:string>>"
-    sheet = F.when(F.length(whole) < floor, F.array().cast(kind)).when(F.length(whole) <= budget, F.array(F.struct(F.lit("sheet").alias("kind"), whole.alias("text"))).cast(kind)).otherwise(parts.cast(kind))
     own = F.filter(F.array(F.struct(F.lit("cause").alias("kind"), causes.alias("text")), F.struct(F.lit("action").alias("kind"), actions.alias("text"))).cast(kind), lambda x: x["text"].isNotNull())
-    return df.select(key, F.posexplode(F.concat(sheet, own)).alias("chunk", "x")).select(key, "chunk", "x.kind", "x.text")
+    head, prefix = F.concat_ws("\n", present(identity), present(metadata), present(factors)), F.coalesce(present(metadata), present(identity), F.lit(""))
+    r = df.select(F.col(key).alias("_key"), own.alias("_own"), head.alias("_head"), prefix.alias("_prefix"), F.filter(narrative, lambda x: x.isNotNull() & (x != "")).alias("_lines"))
+    # each text is made once, and only records that overflow are packed
+    r = r.withColumn("_whole", F.concat_ws("\n", "_head", F.nullif(F.array_join("_lines", "\n"), F.lit(""))))
+    room = F.greatest(F.lit(1), F.lit(budget) - F.length("_prefix") - 1)
+    packed = pack_lines(cut_lines(F.col("_lines"), room), room)
+    parts = F.when(F.length("_whole") < floor, F.array().cast("array<string>")).when(F.length("_whole") <= budget, F.array("_whole")).otherwise(packed)
+    r = r.withColumn("_parts", parts).withColumn("_over", F.length("_whole") > budget)
+    text = lambda x, i: F.when(F.col("_over"), F.concat_ws("\n", F.when(i == 0, F.col("_head")).otherwise(F.col("_prefix")), x)).otherwise(x)
+    sheet = F.transform("_parts", lambda x, i: F.struct(F.when(i == 0, "sheet").otherwise("long narrative").alias("kind"), text(x, i).alias("text"))).cast(kind)
+    return r.select("_key", F.posexplode(F.concat(sheet, "_own")).alias("chunk", "x")).select(F.col("_key").alias(key), "chunk", "x.kind", "x.text")
 
 
 def text_variants(narrative: Column, metadata: list[tuple[str, Column]], wide: list[tuple[str, Column]], summary: Column) -> dict[str, Column]:
