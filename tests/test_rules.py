@@ -193,8 +193,7 @@ def test_hash_sample(spark):
 
 
 def test_greedy_segments(spark):
-    def cut(line):
-        return [line] if len(line) <= 1800 else [x.strip() for x in re.findall(r"(?s)\S.{0,1799}(?=\s|$)|\S{1,1800}", line)]
+    cut = lambda line: [x for x in _cut(line, 1800) if x]
 
     want = []
     for r in _table(spark, "documents"):
