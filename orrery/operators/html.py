@@ -135,6 +135,28 @@ def chunks(df: DataFrame, html: str, key: str, budget: int = 1500, least: int =
     return arrow_map(df.select(key, html), run, f"{key} {df.schema[key].dataType.simpleString()}, chunk int, kind string, heading string, author string, date string, text string")
 
 
+#: A field's chunks as one column.
+CHUNKS = "array<struct<kind string, heading string, author string, date string, text string>>"
+
+
+def chunk_lists(df: DataFrame, columns: dict[str, str], budget: int = 1500, least: int = 25) -> DataFrame:
+    """df with a column of chunks, in order, for each HTML column; null and empty fields have none. columns: HTML column
+    to new column. The record stays one row, so its fields' chunks must fit in a row together."""
+    names, rest = ("kind", "text", "heading", "author", "date"), df.columns
+    schema = df
+    for out in columns.values():
+        schema = schema.withColumn(out, F.lit(None).cast(CHUNKS.replace(" string", ": string")))
+    schema = schema.schema
+    kinds = pa.list_(pa.struct([(n, pa.string()) for n in ("kind", "heading", "author", "date", "text")]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            made = [pa.array([[dict(zip(names, c)) for c in chunk_field(x, budget, least)] for x in b.column(html).to_pylist()], kinds) for html in columns]
+            yield pa.RecordBatch.from_arrays([*b.columns, *made], names=[*rest, *columns.values()])
+
+    return arrow_map(df, run, schema)
+
+
 def plain_text(df: DataFrame, html: str, out: str = "text") -> DataFrame:
     """df with the text of its HTML column."""
     rest = df.columns

@@ -33,7 +33,7 @@ def query(sql: str | None = None):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import catalogue_files, catalogue_index, catalogue_more  # noqa: F401  (they register theirs)
+    from . import catalogue_feeds, catalogue_files, catalogue_index, catalogue_more  # noqa: F401  (they register theirs)
 
     return dict(QUERIES)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
@@ -78,6 +78,12 @@ class _Threads(StatefulProcessor):
         yield pd.DataFrame(out, columns=["key", "start", "end", "position", "us", "payload"])
 
 
+def instant(df: DataFrame, time: str) -> Column:
+    """A column of times as TIMESTAMP; times without a zone are taken as UTC, whatever the session's."""
+    c = F.col(time)
+    return F.concat(c.cast("string"), F.lit("Z")).cast("timestamp") if df.schema[time].dataType.simpleString() == "timestamp_ntz" else c.cast("timestamp")
+
+
 def closed_threads(stream: DataFrame, key: str, time: str, entry: str, gap: str = "30 minutes", late: str = "1 hour") -> DataFrame:
     """A row per entry of every thread that has closed: the columns of `stream`, _start, _end, and _position from 0.
 
@@ -86,13 +92,14 @@ def closed_threads(stream: DataFrame, key: str, time: str, entry: str, gap: str
     past its end by more than the gap; an entry that is later than that is left out. An identifier that comes twice
     while its thread is open counts once. Rows without time, key or identifier are left out. The session must keep its
     state in RocksDB (`STORE`); the open entries of one key must fit in a task, closed ones leave the state.
+    Times come back as TIMESTAMP.
     """
     ship(stream.sparkSession)
     gap_us = int(stream.sparkSession.sql(f"SELECT CAST(INTERVAL {gap} AS INTERVAL SECOND) AS g").first().g.total_seconds() * 1_000_000)
     rest = [c for c in stream.columns if c not in (key, time)]
     kind = stream.schema[key].dataType.simpleString()
-    rows = stream.filter(F.col(time).isNotNull() & F.col(key).isNotNull() & F.col(entry).isNotNull()).withWatermark(time, late)
-    rows = rows.select(F.col(key).alias("key"), F.col(time).alias("time"), F.unix_micros(F.col(time).cast("timestamp")).alias("us"), F.col(entry).cast("string").alias("id"), F.to_json(F.struct(*rest), _TIMES).alias("payload"))
+    rows = stream.filter(F.col(time).isNotNull() & F.col(key).isNotNull() & F.col(entry).isNotNull()).withColumn(time, instant(stream, time)).withWatermark(time, late)
+    rows = rows.select(F.col(key).alias("key"), F.col(time).alias("time"), F.unix_micros(time).alias("us"), F.col(entry).cast("string").alias("id"), F.to_json(F.struct(*rest), _TIMES).alias("payload"))
     out = rows.groupBy("key").transformWithStateInPandas(_Threads(gap_us), f"key {kind}, start long, end long, position int, us long, payload string", "Append", "EventTime")
     of = F.from_json("payload", stream.select(*rest).schema, _TIMES)
-    return out.withColumn("_r", of).select(F.col("key").alias(key), F.timestamp_micros("us").cast(stream.schema[time].dataType).alias(time), "_r.*", F.timestamp_micros("start").alias("_start"), F.timestamp_micros("end").alias("_end"), F.col("position").alias("_position"))
+    return out.withColumn("_r", of).select(F.col("key").alias(key), F.timestamp_micros("us").alias(time), "_r.*", F.timestamp_micros("start").alias("_start"), F.timestamp_micros("end").alias("_end"), F.col("position").alias("_position"))

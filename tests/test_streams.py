@@ -82,3 +82,11 @@ def test_ingest_error(spark, tmp_path):
     stream = spark.readStream.schema("v string").parquet(f"{tmp_path}/in")
     with pytest.raises(Exception):
         counters.ingest(stream, f"{tmp_path}/out", f"{tmp_path}/state", "failing", F.raise_error(F.col("v")).cast("boolean"))
+
+
+@pytest.mark.parametrize("past, closed", [(0, 0), (1, 1)])
+def test_thread_at_the_edge(rocks, tmp_path, past, closed):
+    """The watermark at the end of the gap, and one millisecond behind it."""
+    newest = T0 + datetime.timedelta(minutes=30, milliseconds=past)
+    rows = _run(rocks, str(tmp_path), [[_row(1, "a", 0), (2, "b", newest, "x", T0, None)]], "10 minutes", "20 minutes")
+    assert len(rows) == closed
