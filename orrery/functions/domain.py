@@ -126,3 +126,9 @@ PAGE_HEADINGS = ("info securite dgac", "info sécurité dgac", "n° 20", "no 20"
 
 # Fields that are lists of items.
 LIST_FIELDS = ("operateurs_concernes",)
+
+# A router's names of routes and the route of the golden questions that each stands for.
+ROUTES = (
+    ("analyse", "analyse"), ("agregation", "liste"), ("statistiques", "liste"), ("liste", "liste"), ("requete", "liste"), ("recherche", "recherche"), ("semantique", "recherche"),
+    ("recommandation", "recommandation"), ("reco", "recommandation"), ("abstention", "abstention"), ("hors_domaine", "abstention"), ("synthese", "recherche"),
+)

@@ -132,9 +132,9 @@ def enum_by_prefix(c: Column, allowed: Sequence[str], default: str) -> Column:
     return out.otherwise(default)
 
 
-def extras(names: Sequence[str], **columns: Column) -> Column:
+def extras(names: Sequence[str], prefix: str = "extra_", **columns: Column) -> Column:
     """Map of the named columns that are not null, as text. Structures are given as JSON: F.to_json(column)."""
-    return F.map_filter(F.map_from_arrays(F.array(*[F.lit(f"extra_{n}") for n in names]), F.array(*[columns[n].cast("string") for n in names])), lambda k, v: v.isNotNull())
+    return F.map_filter(F.map_from_arrays(F.array(*[F.lit(f"{prefix}{n}") for n in names]), F.array(*[columns[n].cast("string") for n in names])), lambda k, v: v.isNotNull())
 
 
 def whole_numbers(items: Column) -> Column:

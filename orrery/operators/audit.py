@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.domain import ROUTES
 from ..functions.text import claimed_numbers, fold, identifiers, overlap, strip, unmark
 
 
@@ -96,6 +97,24 @@ def routing(results: DataFrame, chosen: Column, wanted: Column, got: Column, bes
     return results.groupBy(*by or []).agg(F.count(F.lit(1)).alias("n"), F.count_if(chosen != wanted).alias("misrouted"), F.count_if((chosen != wanted) & (got < best)).alias("costly"))
 
 
+def same_route(chosen: Column, wanted: Column, routes=ROUTES) -> Column:
+    """Whether a router's choice stands for the wanted route. A name without an entry stands for itself in lower case, a
+    missing one for none; without a wanted route nothing is right."""
+    name = F.lower(F.coalesce(F.nullif(chosen, F.lit("")), F.lit("?")))
+    table = F.create_map(*[F.lit(x) for pair in routes for x in pair])
+    return F.coalesce(F.coalesce(F.try_element_at(table, name), name) == wanted, F.lit(False))
+
+
+def routed(run: DataFrame, by_route: DataFrame, key: str = "id", routes=ROUTES) -> DataFrame:
+    """run (key, chosen, wanted, ok): every question as the assistant answered it, null `chosen` and ok = false where it
+    failed; by_route (key, ok): the same questions sent to the right route. All rows of run, with right_route,
+    ok_by_route (null if that run lacks the question), misrouted and costly: sent elsewhere, wrong, and right by its route.
+    A failed call, which has no choice, is not misrouted."""
+    j = run.join(by_route.select(key, F.col("ok").alias("ok_by_route")), key, "left").withColumn("right_route", F.when(F.col("chosen").isNotNull(), same_route(F.col("chosen"), F.col("wanted"), routes)))
+    wrong = F.coalesce(~F.col("right_route"), F.lit(False))
+    return j.withColumn("misrouted", wrong).withColumn("costly", wrong & F.coalesce("ok_by_route", F.lit(False)) & ~F.coalesce("ok", F.lit(False)))
+
+
 def paired(a: DataFrame, b: DataFrame, key: str, value: str) -> DataFrame:
     """Two runs on the questions that both have: (key, a, b, delta)."""
     return a.select(key, F.col(value).alias("a")).join(b.select(key, F.col(value).alias("b")), key).withColumn("delta", F.col("b") - F.col("a"))

@@ -36,6 +36,14 @@ def question_filters(question: Column, kinds: dict[str, str], stand_word: str =
     return F.concat(years, found, stand)
 
 
+def either_year(question: Column) -> Column:
+    """The pairs of years between 2000 and 2029 that a question names as alternatives, 2024 ou 2025: structs (first,
+    second), each of which stands for one filter that keeps the rows of either year."""
+    text = unmark(F.lower(F.coalesce(question, F.lit(""))))
+    pairs = F.regexp_extract_all(text, F.lit(r"(?<![0-9a-z_])(20[0-2][0-9] ou 20[0-2][0-9])(?![0-9a-z_])"), F.lit(1))
+    return F.transform(pairs, lambda x: F.struct(F.left(x, F.lit(4)).alias("first"), F.right(x, F.lit(4)).alias("second")))
+
+
 def filter_verdicts(filters: DataFrame, members: DataFrame, golden: DataFrame) -> DataFrame:
     """filters (query_id, field, value), members (field, value, id), golden (query_id, id): per filter the rows it keeps,
     those of the golden set, and whether it may be used: it must hold all golden rows and more (`kept`), not be equal to

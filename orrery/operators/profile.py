@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import all_matches, strip
+from ..sources.sinks import written
 
 
 def fill_rates(df: DataFrame, columns: Sequence[str] | None = None, digits: int = 9) -> DataFrame:
@@ -191,12 +192,15 @@ def acronym_dictionary(texts: DataFrame, words: Sequence[str], protected: Sequen
     """
     from ..functions.text import acronym_forms, excerpt, unmark
 
-    seen = texts.select("id", "field", "text", F.explode(acronym_forms(F.col("text"), lower)).alias("f")).select("id", "field", "text", "f.acronym", "f.seen")
-    n = seen.groupBy("acronym").agg(F.count(F.lit(1)).alias("frequency"), F.countDistinct("id").alias("n_docs"))
-    listed = lambda column, most: seen.groupBy("acronym", column).count().withColumn("_r", F.row_number().over(Window.partitionBy("acronym").orderBy(F.desc("count"), column))).filter(F.col("_r") <= most).groupBy("acronym").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_r", column, "count"))), lambda x: F.concat(x[column], F.lit(":"), x["count"].cast("string"))), " ").alias(f"{column}s"))
-    first = seen.groupBy("acronym", "id").agg(F.min(F.struct("field", "seen", "text")).alias("x"))
-    some = first.withColumn("_r", F.row_number().over(Window.partitionBy("acronym").orderBy("id"))).filter(F.col("_r") <= examples)
-    some = some.groupBy("acronym").agg(F.transform(F.sort_array(F.collect_list(F.struct("_r", excerpt(F.col("x.text"), F.col("x.seen"), mark="…").alias("t")))), lambda x: x["t"]).alias("excerpts"))
+    seen = texts.select("id", "field", F.explode(acronym_forms(F.col("text"), lower)).alias("f")).groupBy("f.acronym", "id", "field", "f.seen").agg(F.count(F.lit(1)).alias("n"))
+    seen = written(seen, "acronyms")  # no texts; all that follows is counted from it
+    n = seen.groupBy("acronym").agg(F.sum("n").alias("frequency"), F.countDistinct("id").alias("n_docs"))
+    listed = lambda column, most: seen.groupBy("acronym", column).agg(F.sum("n").alias("count")).withColumn("_r", F.row_number().over(Window.partitionBy("acronym").orderBy(F.desc("count"), column))).filter(F.col("_r") <= most).groupBy("acronym").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_r", column, "count"))), lambda x: F.concat(x[column], F.lit(":"), x["count"].cast("string"))), " ").alias(f"{column}s"))
+    first = seen.groupBy("acronym", "id").agg(F.min(F.struct("field", "seen")).alias("x"))
+    wanted = first.withColumn("_r", F.row_number().over(Window.partitionBy("acronym").orderBy("id"))).filter(F.col("_r") <= examples).select("acronym", "_r", "id", "x.field", "x.seen")
+    # the few texts that are shown are looked up; what is shuffled is their excerpts
+    some = texts.join(wanted, ["id", "field"]).groupBy("acronym", "_r").agg(F.min(excerpt(F.col("text"), F.col("seen"), mark="…")).alias("t"))
+    some = some.groupBy("acronym").agg(F.transform(F.sort_array(F.collect_list(F.struct("_r", "t"))), lambda x: x["t"]).alias("excerpts"))
     c = F.col("acronym")
     kind = F.when(c.isin(*[x.upper() for x in lower]) if lower else F.lit(False), "lower case").when(c.rlike("[0-9]"), "with digits").otherwise("letters")
     reason = F.when(c.isin(*protected) if protected else F.lit(False), F.lit(None)).when(unmark(c).isin(*words) if words else F.lit(False), "common word").when(F.length(c) < 2, "too short")

@@ -7,10 +7,12 @@ from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
+from ..functions import places
+from ..operators import audit, documents, evaluation, golden, profile
 from ..sources import sinks, split_files
 from ..streaming import counters, threads
-from . import tickets
-from .catalogue import _UUID, _Tables, query
+from . import schema, tickets
+from .catalogue import _APART, _COMMON, _JARGON, _UUID, _Tables, query
 
 
 def _folder(spark, label: str) -> str:
@@ -125,3 +127,98 @@ def ticket_full_records(spark, sf):
     one = lambda c: F.nullif(F.array_join(F.transform(c, lambda x: F.concat_ws("|", x["kind"], F.coalesce(x["author"], F.lit("")), F.coalesce(x["date"], F.lit("")), x["text"])), "#"), F.lit(""))
     kept = ("numero_fe", "ticket_id", "titre", "cause_nc", "importance", "etat", "abbr", "etape", "id_type", "projet_id", "version_souhaitee", "developpeur_login", "emetteur_login", "emetteur_id", "site_application", "version_souhaitee_id", "type_label", "type_code", "date_nc")
     return t.select(*kept, one("detail_chunks").alias("details"), one("cause_chunks").alias("causes"))
+
+
+# rules of records, audits and places over the tables
+
+@query(rf"""WITH t AS (SELECT doc_id, f, text FROM (SELECT doc_id, text, source || ' Q.R.P et Q.R ISO (NP7)' AS source FROM documents) UNPIVOT (text FOR f IN (text, source))),
+    o AS (SELECT DISTINCT doc_id, f, unnest([{{'a': replace(x, '.', ''), 's': x}} for x in regexp_extract_all(regexp_replace(text, '[^\p{{L}}\p{{N}}_.]+', '  ', 'g'), '(?:^| )((?:[A-Z]\.){{2,}}[A-Z]?)(?: |$)', 1)] || [{{'a': x, 's': x}} for x in regexp_extract_all({_APART}, ' ([A-Z][A-Z0-9]{{1,7}}) ', 1)]
+        || [{{'a': upper(x), 's': x}} for x in regexp_extract_all({_APART}, ' ((?i:iso|er)) ', 1)], recursive := true) FROM t),
+    d AS (SELECT a, doc_id, min({{'f': f, 's': s}}) AS x FROM o GROUP BY 1, 2), r AS (SELECT a, doc_id, x.f AS f, x.s AS s, row_number() OVER (PARTITION BY a ORDER BY doc_id) AS r FROM d),
+    p AS (SELECT a, r, s, text, strpos(text, s) AS w FROM r JOIN t USING (doc_id, f) WHERE r <= 3), e AS (SELECT *, greatest(w - 70, 1) AS b, least(w + length(s) + 70, length(text) + 1) AS z FROM p)
+    SELECT a AS acronym, string_agg(CASE WHEN b > 1 THEN '…' ELSE '' END || trim(regexp_replace(substr(text, b, z - b), '\s+', ' ', 'g')) || CASE WHEN z <= length(text) THEN '…' ELSE '' END, ' / ' ORDER BY r) AS excerpts FROM e GROUP BY 1""")
+def acronym_excerpts(spark, sf):
+    """The first three excerpts, a feature of the report, of every acronym."""
+    d = _Tables(spark, sf).documents.select(F.col("doc_id").alias("id"), "text", F.concat("source", F.lit(" Q.R.P et Q.R ISO (NP7)")).alias("source"))
+    texts = d.unpivot("id", ["text", "source"], "field", "text").filter("text is not null")
+    return profile.acronym_dictionary(texts, _COMMON, protected=["ST"], lower=_JARGON).select("acronym", F.array_join("excerpts", " / ").alias("excerpts"))
+
+
+_NAMED = ("Agregation", "semantique", "RECO", "analyse", "autre", "hors_domaine")
+
+
+@query(f"""WITH r AS (SELECT event_id, CASE WHEN event_id % 10 > 0 THEN [{', '.join(f"'{x}'" for x in _NAMED)}][user_id % 6 + 1] END AS chosen, ['liste', 'recherche', 'recommandation', 'analyse', 'abstention'][event_id % 5 + 1] AS wanted, coalesce(value < 20, false) AS ok, event_type FROM events),
+    j AS (SELECT *, CASE WHEN event_id % 3 > 0 THEN event_id % 2 = 0 END AS best, CASE lower(chosen) WHEN 'agregation' THEN 'liste' WHEN 'semantique' THEN 'recherche' WHEN 'reco' THEN 'recommandation' WHEN 'hors_domaine' THEN 'abstention' ELSE lower(chosen) END = wanted AS good FROM r)
+    SELECT event_type, count(*) AS n, count_if(ok)::BIGINT AS ok, count_if(best)::BIGINT AS ok_by_route, count_if(NOT good)::BIGINT AS misrouted, count_if(NOT good AND best AND NOT ok)::BIGINT AS costly FROM j GROUP BY 1""")
+def routed_answers(spark, sf):
+    """Every event as a question: a router's choice by its own names, failures without one, a third not asked by route."""
+    e, k = _Tables(spark, sf).events, F.col("event_id")
+    chosen = F.when(k % 10 > 0, F.element_at(F.array(*[F.lit(x) for x in _NAMED]), (F.col("user_id") % 6 + 1).cast("int")))
+    wanted = F.element_at(F.array(*[F.lit(x) for x in ("liste", "recherche", "recommandation", "analyse", "abstention")]), (k % 5 + 1).cast("int"))
+    run = e.select(k.alias("id"), chosen.alias("chosen"), wanted.alias("wanted"), F.coalesce(F.col("value") < 20, F.lit(False)).alias("ok"), "event_type")
+    r = audit.routed(run, e.filter(k % 3 > 0).select(k.alias("id"), (k % 2 == 0).alias("ok")))
+    return r.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), *[F.count_if(c).alias(c) for c in ("ok", "ok_by_route", "misrouted", "costly")])
+
+
+@query("SELECT (year(o_orderdate) + 6)::VARCHAR AS first, (year(o_orderdate) + 6 + o_orderkey % 2)::VARCHAR AS second, count(*) AS n FROM orders WHERE o_orderkey % 3 > 0 AND o_orderkey % 7 > 0 GROUP BY 1, 2")
+def either_year_questions(spark, sf):
+    """Questions made from orders that name two years as alternatives, or apart; a seventh names years before 2000."""
+    y = F.year("o_orderdate") + F.when(F.col("o_orderkey") % 7 > 0, 6).otherwise(-30)
+    q = F.concat(F.lit("Événements "), y.cast("string"), F.when(F.col("o_orderkey") % 3 > 0, F.lit(" OU ")).otherwise(F.lit(" et ")), (y + F.col("o_orderkey") % 2).cast("string"), F.lit(" ?"))
+    return _Tables(spark, sf).orders.select(F.explode(golden.either_year(q)).alias("p")).groupBy("p.first", "p.second").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT 'P' || p_partkey AS k, p_name AS name, CASE WHEN p_partkey % 2 = 0 THEN p_type END AS rare, CASE WHEN p_partkey % 3 = 0 THEN '{\"size\":' || p_size || '}' END AS nested, (p_partkey % 2 = 0)::INTEGER + (p_partkey % 3 = 0)::INTEGER AS n FROM part")
+def projected_extras(spark, sf):
+    """Rare source fields that a module's configuration keeps; one of them is in no table."""
+    module = schema.Module.parse({"module": "part", "identite": "k", "champs": [{"cle": "k", "label": "k", "requis": True}, {"cle": "name", "label": "p_name"}], "extras": {"enabled": True, "whitelist": ["rare", "nested", "nowhere"]}})
+    k = F.col("p_partkey")
+    rows = _Tables(spark, sf).part.select(F.concat(F.lit("P"), k.cast("string")).alias("k"), "p_name", F.when(k % 2 == 0, F.col("p_type")).alias("rare"), F.when(k % 3 == 0, F.struct(F.col("p_size").alias("size"))).alias("nested"))
+    x = F.col("extra_fields")
+    return schema.project(rows, module).select("k", "name", x["rare"].alias("rare"), x["nested"].alias("nested"), F.size(x).alias("n"))
+
+
+_SIDES = "['L', 'R'][o_orderkey % 2 + 1]"
+
+
+@query(f"""WITH d AS (SELECT o_orderkey, 10 + o_custkey % 30 AS n, o_orderkey % 5 AS form, {_SIDES} AS side FROM orders), r AS (SELECT *, n || side AS raw, ['', '', 'C' || n][greatest(form - 1, 1)] AS stand FROM d),
+    c AS (SELECT *, CASE n WHEN 18 THEN '17' WHEN 36 THEN '35' ELSE n::VARCHAR END || side AS now FROM r), k AS (SELECT *, now IN ('17L', '17R', '35L', '35R') AS good FROM c)
+    SELECT o_orderkey, 'LFLL' AS code, CASE WHEN form < 4 THEN raw END AS raw, CASE WHEN form < 4 AND good THEN now END AS runway, form < 4 AND good AND now <> raw AS renamed, CASE WHEN form < 4 AND good THEN 1 END AS strips, CASE WHEN form = 4 THEN 'C' || n END AS stand, CASE WHEN form = 3 THEN 'MAN' END AS zone,
+        CASE WHEN form < 4 AND NOT good THEN raw || ' unknown at Lyon Saint Exupéry' END AS anomaly, CASE WHEN form < 4 THEN raw END AS first_runway, CASE WHEN form = 4 THEN 'C' || n END AS first_stand FROM k""")
+def places_of_orders(spark, sf):
+    """Places written in five forms for every order: runways of any number, with a nought, a blank or an area, and stands."""
+    k, n = F.col("o_orderkey"), (F.lit(10) + F.col("o_custkey") % 30).cast("string")
+    side = F.when(k % 2 == 0, F.lit("L")).otherwise(F.lit("R"))
+    form = k % 5
+    written = F.when(form == 0, F.concat(n, side)).when(form == 1, F.concat(F.lit("piste 0"), n, side)).when(form == 2, F.concat(F.lit(" "), n, F.lower(side), F.lit(" "))).when(form == 3, F.concat(n, side, F.lit(" - man"))).otherwise(F.concat(F.lit("c"), n))
+    d = _Tables(spark, sf).orders.select("o_orderkey", written.alias("w")).select("o_orderkey", "w", places.normalise(F.col("w"), F.lit("LYON Saint-Exupéry")).alias("p"))
+    runway, stand = places.first_runway_or_stand(F.lit(None).cast("string"), F.col("w"))
+    return d.select("o_orderkey", F.col("p.aerodrome_code").alias("code"), F.array_join("p.runway_raw", ",").alias("raw"), F.array_join("p.runway_current", ",").alias("runway"), F.col("p.runway_renamed").alias("renamed"), F.col("p.strips").alias("strips"), F.col("p.stand").alias("stand"), F.col("p.zone").alias("zone"), F.col("p.anomaly").alias("anomaly"), runway.alias("first_runway"), stand.alias("first_stand"))
+
+
+@query("""WITH c AS (SELECT o_custkey AS family, count(*) AS n, round(avg((o_orderstatus = 'F')::INTEGER), 9) AS rate, count(DISTINCT o_orderpriority) AS structured FROM orders GROUP BY 1), d AS (SELECT c_mktsegment, n, rate, structured, n >= 8 AND rate >= 0.35 AND structured >= 3 AS usable FROM c JOIN customer ON family = c_custkey)
+    SELECT c_mktsegment AS segment, count(*) AS families, count_if(usable)::BIGINT AS usable FROM d GROUP BY 1""")
+def usable_grounds(spark, sf):
+    """Customers as families of orders: how many give grounds for a recommendation, by segment."""
+    t = _Tables(spark, sf)
+    stats = t.orders.groupBy(F.col("o_custkey").alias("family")).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg((F.col("o_orderstatus") == "F").cast("int")), 9).alias("rate"), F.countDistinct("o_orderpriority").alias("structured"))
+    return profile.grounds(stats).join(t.customer, F.col("family") == F.col("c_custkey")).groupBy(F.col("c_mktsegment").alias("segment")).agg(F.count(F.lit(1)).alias("families"), F.count_if("usable").alias("usable"))
+
+
+@query("""WITH v AS (SELECT event_type AS variant, round(avg((value > 10)::INTEGER), 9) AS recall, round(avg((user_id % 2 = 0)::INTEGER), 9) AS homogeneity FROM events GROUP BY 1), b AS (SELECT *, max(recall) OVER () AS best FROM v)
+    SELECT variant, recall, homogeneity FROM b WHERE best - recall <= 0.02 ORDER BY homogeneity, recall DESC, variant LIMIT 1""")
+def chosen_variant(spark, sf):
+    """Event types as variants of a search; a difference of up to 0.02 to the best recall is not clear. One row is the feature."""
+    v = _Tables(spark, sf).events.groupBy(F.col("event_type").alias("variant")).agg(F.round(F.avg((F.col("value") > 10).cast("int")), 9).alias("recall"), F.round(F.avg((F.col("user_id") % 2 == 0).cast("int")), 9).alias("homogeneity"))
+    best = v.agg(F.max("recall").alias("best"))
+    low = v.join(F.broadcast(best), how="cross").withColumn("low_delta", F.when(F.col("recall") < F.col("best"), F.col("best") - F.col("recall") - 0.02))  # one row is broadcast
+    return evaluation.choose(low).select("variant", "recall", "homogeneity")
+
+
+@query("SELECT o_custkey, coalesce(string_agg(s, ', ' ORDER BY i), '') AS related, count(*) AS n FROM (SELECT o_custkey, o_orderpriority AS s, min(o_orderkey) AS i FROM orders GROUP BY 1, 2) GROUP BY 1")
+def joined_relations(spark, sf):
+    """The priorities of a customer's orders, each once in order of its first, and empty and missing values left out."""
+    rows = _Tables(spark, sf).orders.groupBy("o_custkey", F.col("o_orderpriority").alias("s")).agg(F.min("o_orderkey").alias("i"))
+    g = rows.groupBy("o_custkey").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "s"))), lambda x: x["s"]).alias("v"), F.count(F.lit(1)).alias("n"))  # as many as there are priorities
+    noisy = F.concat(F.array(F.lit(""), F.lit(None).cast("string")), "v", "v")
+    return g.select("o_custkey", F.coalesce(documents.relation(noisy), F.lit("")).alias("related"), "n")

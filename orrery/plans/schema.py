@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import DAY_FIRST, any_label_yes, multi_valued, not_zero, parse_date, tri_state
+from ..functions.scalars import DAY_FIRST, any_label_yes, extras, multi_valued, not_zero, parse_date, tri_state
 from ..functions.text import strip
 
 #: Type names of the configuration. A configured "decimal" is a floating-point number.
@@ -38,13 +38,15 @@ class Module:
     name: str
     identity: str
     fields: tuple[Field, ...] = field(default_factory=tuple)
+    extras: tuple[str, ...] = ()  # rare source fields that are kept as they are
 
     @staticmethod
     def parse(config: dict) -> Module:
         """From a parsed configuration file (French keys as in the files)."""
         names = {"cle": "key", "noeud": "node", "cle_noeud": "node_key", "filtre_vide": "empty", "requis": "required", "derive": "derived"}
         fields = tuple(Field(**{names.get(k, k): tuple(v) if isinstance(v, list) else v for k, v in x.items()}) for x in config["champs"])
-        return Module(config["module"], config["identite"], fields)
+        kept = config.get("extras") or {}
+        return Module(config["module"], config["identite"], fields, tuple(kept.get("whitelist") or ()) if kept.get("enabled") else ())
 
 
 def missing_fields(module: Module, columns: list[str]) -> list[str]:
@@ -76,14 +78,18 @@ def _links(f: Field) -> Column:
 
 def project(rows: DataFrame, module: Module) -> DataFrame:
     """One typed row per identity: the configured columns and `entities`, the linked nodes. Rows without identity go;
-    of several, the first by the column `position`, if there is one, stays."""
+    of several, the first by the column `position`, if there is one, stays. If the module keeps extras, the map
+    `extra_fields` holds, by source field, what is there of them as text, structures and lists as JSON."""
     from ..operators.graph import latest
 
     plain = [f for f in module.fields if f.role != "relation"]
     links = [_links(f) for f in module.fields if f.role == "relation"]
     entities = F.flatten(F.array(*[F.coalesce(x, F.array().cast("array<struct<node:string,key:string,value:string,relation:string>>")) for x in links])) if links else F.array().cast("array<struct<node:string,key:string,value:string,relation:string>>")
     keep = ["position"] if "position" in rows.columns else []
-    out = rows.select(*keep, *[value(f).alias(f.key) for f in plain], entities.alias("entities"))
+    rare = [c for c in dict.fromkeys(module.extras) if c in rows.columns]
+    nested = lambda c: rows.schema[c].dataType.simpleString().startswith(("struct", "array", "map"))
+    extra = extras(rare, **{c: F.to_json(c) if nested(c) else F.col(c) for c in rare}, prefix="") if rare else F.create_map().cast("map<string,string>")
+    out = rows.select(*keep, *[value(f).alias(f.key) for f in plain], entities.alias("entities"), *([extra.alias("extra_fields")] if module.extras else []))
     for f in plain:
         if f.required:
             out = out.filter(F.col(f.key).isNotNull())

@@ -2,13 +2,14 @@
 
 import random
 import re
+import uuid
 
 import pyspark.sql.functions as F
 import pytest
 
 from orrery.functions import places, scalars, text
 from orrery.operators import audit, documents, evaluation, golden, html, profile, search
-from orrery.plans import catalogue, schema
+from orrery.plans import catalogue, schema, tickets
 from orrery.sources import readers
 from orrery.streaming import incremental
 
@@ -237,3 +238,37 @@ def test_acronym_excerpts(spark):
     got = {r.acronym: r for r in profile.acronym_dictionary(d, ["DE", "ILS", "ETAT"], protected=["ILS"], lower=["iso"]).collect()}
     assert set(got) == {"ILS", "FOD", "ISO", "NP7", "DE"} and got["DE"].reason == "common word" and got["ILS"].reason is None and got["NP7"].category == "with digits" and got["ISO"].category == "lower case"
     assert got["ILS"].n_docs == 2 and got["ILS"].excerpts[0].startswith("…x") and " ILS en panne y" in got["ILS"].excerpts[0] and got["ILS"].excerpts[1] == "ÉTAT DE l'ILS" and got["FOD"].spellings == "F.O.D:1"
+
+
+def test_routes(spark):
+    run = spark.createDataFrame([(1, "RECO", "recommandation", True), (2, "statistiques", "liste", False), (3, "liste", "recherche", False), (4, None, "liste", False), (5, "", "liste", False), (6, "liste", None, False), (7, "liste", "recherche", True), (8, "liste", "recherche", False)], "id int, chosen string, wanted string, ok boolean")
+    by = spark.createDataFrame([(1, True), (2, True), (3, True), (4, True), (5, True), (6, False), (7, True)], "id int, ok boolean")
+    got = {r.id: (r.right_route, r.misrouted, r.costly, r.ok_by_route) for r in audit.routed(run, by).collect()}
+    assert got == {1: (True, False, False, True), 2: (True, False, False, True), 3: (False, True, True, True), 4: (None, False, False, True), 5: (False, True, True, True), 6: (False, True, False, False), 7: (False, True, False, True), 8: (False, True, False, None)}
+
+
+def test_either_year(spark):
+    got = one(spark, golden.either_year(F.col("t")), t="En 2024 OU 2025, 2019 ou 1999, 2020 ou 2021 et 2031 ou 2024 ?")
+    assert [(x.first, x.second) for x in got] == [("2024", "2025"), ("2020", "2021")]
+    assert one(spark, golden.either_year(F.col("t").cast("string")), t=None) == []
+
+
+def test_extras(spark):
+    rows = spark.createDataFrame([("a", "x", None), ("b", None, None)], "k string, rare string, more string")
+    module = schema.Module("m", "k", (schema.Field("k", "k"),), ("rare", "more", "nowhere"))
+    assert {r.k: r.extra_fields for r in schema.project(rows, module).collect()} == {"a": {"rare": "x"}, "b": {}}
+    assert "extra_fields" not in schema.project(rows, schema.Module("m", "k", (schema.Field("k", "k"),))).columns
+    assert schema.project(rows, schema.Module("m", "k", (schema.Field("k", "k"),), ("nowhere",))).first().extra_fields == {}
+    off = {"module": "m", "identite": "k", "champs": [], "extras": {"enabled": False, "whitelist": ["rare"]}}
+    assert schema.Module.parse(off).extras == ()
+
+
+def test_ticket_records(spark):
+    """Fields that raw tickets lack, structures of another type, empty and null texts, tickets without a number."""
+    raw = spark.createDataFrame([("7", None, "", None, None, None, 3), (" ", "t", "d", None, None, None, 4), (None, "t", "d", None, None, None, 5), ("7", "t", "<p>" + "word " * 700 + "</p>", None, None, None, 6)], "numero_fe string, titre_nc string, detail_nc string, resume string, cause_nc string, resp_traitement_nc string, parent int")
+    t = tickets.ticket_records(raw.withColumn("versioneffective", F.array().cast("array<string>")))
+    rows = sorted(t.collect(), key=lambda r: r.titre)
+    assert [r.numero_fe for r in rows] == ["7", "7"] and rows[0].ticket_id == rows[1].ticket_id == str(uuid.uuid5(tickets.TICKETS, "7"))
+    assert rows[0].detail_chunks == [] and rows[0].parent_numero_fe is None and rows[0].urgence is None
+    assert len(rows[1].detail_chunks) == 3 and " ".join(c.text for c in rows[1].detail_chunks) == ("word " * 700).strip()
+    assert t.limit(0).count() == 0 and {n for n, _, _ in tickets.COPIED + tickets.MORE} <= set(t.columns)
