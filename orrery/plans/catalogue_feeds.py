@@ -19,9 +19,9 @@ def _folder(spark, label: str) -> str:
     return f"{sinks.shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-# files of up to 5000 records, read in blocks of 64 KB
+# files of up to 5000 records, read in blocks of 256 KB
 
-_PER_FILE, _BLOCK = 5000, 64 << 10
+_PER_FILE, _BLOCK = 5000, 256 << 10
 
 
 def _write_files(rows, path: str, before, after, glue: str) -> None:
