@@ -21,10 +21,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
-#: Words remembered per Python worker, about 150 bytes each.
-MEMO = 400_000
+#: Words remembered per Python worker, about 200 bytes each.
+MEMO = 200_000
 #: Bytes of text in a block; a longer text is encoded in parts of about this size.
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 #: Characters that no Unicode version composes, and whose lower case and classes have always been the same.
 _STABLE = regex.compile(r"[\x00-\x7f\xc0-\xff]*")
 
