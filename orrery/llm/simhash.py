@@ -111,7 +111,8 @@ def links(points: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> Data
     masks = [_signed(m) for m in covering_masks(radius)]
     keyed = points.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in masks])).alias("t", "key"))
     sizes = keyed.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shared = stored(keyed.join(sizes, ["t", "key"], "inner"), "simhash-buckets")
+    # Spark sizes keyed by the few MB of points, without the rows that posexplode makes, and would broadcast it
+    shared = stored(keyed.hint("shuffle_merge").join(sizes, ["t", "key"], "inner"), "simhash-buckets")
     lists = shared.filter(F.col("n") <= bucket).groupBy("t", "key").agg(F.sort_array(F.collect_list("fp")).alias("members")).select("members").distinct()
     lists = stored(lists, "simhash-lists")
     two = lists.filter(F.size("members") == 2).select(F.col("members")[0].alias("u"), F.col("members")[1].alias("v")).filter(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= radius)
