@@ -28,12 +28,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, stored
+from .common import arrow_map, small_batches, stored
 from .wordpieces import blocks
 
 KINDS = ("ends", "overlap", "product")
 #: Bytes of text in a block, or one text; a longer text is taken in parts of about this size.
-BLOCK = 4 << 20
+BLOCK = 1 << 20
+#: Blocks, rows of about 2 MB, in a Parquet row group.
+GROUP_ROWS = 8
 #: Characters and links of units that a Python worker remembers between blocks; about 25 bytes are held for each.
 MEMO = 4 << 20
 _UNITS = re.compile(r"[ \t\n]*[^ \t\n]+|[ \t\n]+")
@@ -320,16 +322,19 @@ def align_documents(docs: DataFrame, a_path: str, b_path: str, kind: str = "ends
     empty table gives an empty result. A text of more than BLOCK is taken in parts; a text with other white space than
     blanks, tabs and line feeds, or one word, is encoded whole.
     """
-    coded = stored(encoded_blocks(docs, a_path, b_path, kind, id_col, text_col), "aligned")
+    with small_batches(docs.sparkSession):
+        coded = stored(encoded_blocks(docs, a_path, b_path, kind, id_col, text_col), "aligned", GROUP_ROWS)
     asked = coded.select("block", F.posexplode(F.arrays_zip("pairs", "pair_counts")).alias("place", "x")).select("block", "place", F.col("x.pairs").alias("pair"), F.col("x.pair_counts").alias("n"))
     counts = stored(pair_counts(asked), "pair-best")
     # a count is at least 1, so its sign can say whether it is the best
-    told = asked.select("block", "place", "pair").join(counts.select("pair", F.when(F.col("best"), -F.col("count")).otherwise(F.col("count")).alias("value")), "pair")
+    # left: all pairs have counts, and of a left join only the right side can be broadcast, not the exploded one
+    told = asked.select("block", "place", "pair").join(counts.select("pair", F.when(F.col("best"), -F.col("count")).otherwise(F.col("count")).alias("value")), "pair", "left")
     answers = told.groupBy("block").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "value"))), lambda x: x["value"]).alias("values"))
     columns = ["ids", "n_a", "n_b", "n_groups", "n_links", "sha", "units", "times", "bounds", "unit_links", "unit_sizes"]
     joined = coded.select("block", *columns).join(answers, "block", "left").select(*columns, "values")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _units.cache_clear()  # workers are reused, and what they remember of units is not needed here
         for b in batches:
             for i in range(len(b)):
                 row = {n: b.column(n)[i] for n in [*columns, "values"]}
@@ -343,12 +348,14 @@ def align_documents(docs: DataFrame, a_path: str, b_path: str, kind: str = "ends
                 yield pa.RecordBatch.from_arrays([row["ids"].values, *[row[n].values for n in ("n_a", "n_b", "n_groups", "n_links")], pa.array(best, pa.int64()), pa.array(total, pa.int64()), row["sha"].values], names=[id_col, "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
 
     figures = ", ".join(f"{n} long" for n in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"))
-    return arrow_map(joined, run, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, {figures}, groups_sha256 string")
+    with small_batches(docs.sparkSession):
+        return stored(arrow_map(joined, run, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, {figures}, groups_sha256 string"), "aligned-texts")
 
 
 def token_map(docs: DataFrame, a_path: str, b_path: str, kind: str = "ends", text_col: str = "text") -> DataFrame:
     """The vocabularies' map that the corpus gives: (a, b, count, best) for each pair of ids that is linked in it."""
-    coded = stored(encoded_blocks(docs, a_path, b_path, kind, text_col, text_col).select("block", "pairs", "pair_counts"), "aligned")
+    with small_batches(docs.sparkSession):
+        coded = stored(encoded_blocks(docs, a_path, b_path, kind, text_col, text_col).select("block", "pairs", "pair_counts"), "aligned", GROUP_ROWS)
     asked = coded.select(F.explode(F.arrays_zip("pairs", "pair_counts")).alias("x")).select(F.col("x.pairs").alias("pair"), F.col("x.pair_counts").alias("n"))
     return pair_counts(asked).drop("pair")
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -35,13 +37,31 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/orrery/{os.getpid()}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Writes df to the shared folder and reads it back: this cuts the lineage, and what it holds outlives any executor."""
+def stored(df: DataFrame, label: str, group_rows: int | None = None) -> DataFrame:
+    """Writes df to the shared folder and reads it back: this cuts the lineage, and what it holds outlives any executor.
+
+    group_rows: rows of a Parquet row group at most, for rows of MBs. A writer looks at a group's size every 100 rows at
+    the earliest, and writers and readers hold a group at once.
+    """
     path = work_path(df.sparkSession, label)
-    df.write.parquet(path)
+    w = df.write.option("parquet.block.row.count.limit", group_rows) if group_rows else df.write
+    w.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, most: str = "8m") -> Iterator[None]:
+    """Arrow batches of about so many bytes for what is run inside, so that workers and executors don't hold 64 MB of rows
+    of MBs at once."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, most)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def release(spark: SparkSession) -> None:
     """Deletes all that this process's operators have written to the shared folder. Results that were not yet written
     elsewhere read from there, so this is for the end of a job."""
