@@ -7,11 +7,11 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import containment, graph, search, stores, terms, vector_index
+from ..operators import containment, graph, stores, terms, vector_blocks, vector_index
 from ..sources import sinks
 from ..streaming.embedding_cache import EmbeddingCache
 from . import table_functions
-from .catalogue import WORDS, _SCORED, _scored, _Tables, query
+from .catalogue import WORDS, _SCORED, _sides, _Tables, query
 
 
 def _folder(spark, label: str) -> str:
@@ -138,7 +138,7 @@ def published_fields(spark, sf):
     SELECT query_id, n, n AS n_told, own[1] AS first, own[1] = al[1] AS first_right, own = al AS top_right FROM o, a""")
 def sample_rankings(spark, sf):
     """Labels among the 20 best of every query, ranked, against the ranking of all labels."""
-    found = search.top_rows(_scored(spark, sf), 20, 6).withColumnRenamed("owner", "label")
+    found = vector_blocks.top_rows(*_sides(spark, sf), 20, 6).withColumnRenamed("owner", "label")
     return stores.sample_against_population(found, _Tables(spark, sf).embeddings, "label")
 
 
