@@ -1,4 +1,4 @@
-"""Search in blocks against the search by pairs: ties, nulls, NaN, odd lengths, many blocks."""
+"""Search in blocks against the search by pairs: ties, nulls, NaN, odd lengths, many blocks; separation without pairs."""
 
 import math
 import random
@@ -72,7 +72,18 @@ def test_nothing_but_ties_stays_small(spark, monkeypatch):
     assert best.cut()["_key"].to_pylist() == [0, 1, 2, 3] * 3 and max(seen) <= 24
 
 
-@pytest.mark.parametrize("name", ["vector_topk_distinct_owner", "owner_max_score", "multiplicity_bias", "sample_rankings", "filter_then_rank_gain"])
+@pytest.mark.parametrize("odd", [False, True])
+def test_separation(spark, odd):
+    q, c = _tables(spark, odd)
+    if odd:
+        q, c = (d.filter(f"{i} is null or {i} <> 405") for d, i in ((q, "query_id"), (c, "id")))  # NaN makes both NaN
+    pairs, inside = search.scores(q, c).filter("id <> query_id"), F.col("owner") == F.col("wanted")
+    want = pairs.agg(F.avg(F.when(inside, F.col("score"))) - F.avg(F.when(~inside, F.col("score")))).first()[0]
+    assert search.separation(q, c).first()[0] == pytest.approx(want, abs=1e-12)
+    assert search.separation(q.limit(0), c).first()[0] is None
+
+
+@pytest.mark.parametrize("name", ["vector_topk_distinct_owner", "owner_max_score", "multiplicity_bias", "sample_rankings", "filter_then_rank_gain", "class_separation"])
 def test_vectors_meet_packed_or_not_at_all(spark, name):
     plan = catalogue.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
-    assert "q_numbers" in plan and "lambda" not in plan
+    assert "Cross" not in plan if name == "class_separation" else "q_numbers" in plan and "lambda" not in plan
