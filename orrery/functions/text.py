@@ -19,6 +19,16 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"^\s+|\s+$", "")
 
 
+def once(c: Column, f) -> Column:
+    """f of c, which is worked out once however often f names it; a condition and its branch would each work it out."""
+    return F.transform(F.array(c), f)[0]
+
+
+def stripped(c: Column) -> Column:
+    """As strip, without a pattern for texts that don't end with a line end that is no white space, before which strip trims too."""
+    return once(c, lambda x: F.when(F.right(x, F.lit(1)).isin("\u0085", "\u2028", "\u2029"), strip(x)).otherwise(F.btrim(x, F.lit(" \t\n\x0b\f\r"))))
+
+
 def collapse(c: Column) -> Column:
     return strip(F.regexp_replace(c, r"\s+", " "))
 
@@ -196,11 +206,20 @@ def identifier(c: Column) -> Column:
 
 
 def light_html(c: Column) -> Column:
-    """Line breaks kept, other tags out, the five basic entities decoded. For anything else use operators.html."""
-    out = F.regexp_replace(F.regexp_replace(c, r"(?i)<br\s*/?>", "\n"), r"<[^>]*>", " ")
-    for a, b in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
-        out = F.replace(out, F.lit(a), F.lit(b))
-    return strip(F.regexp_replace(F.regexp_replace(out, r"[ \t]+", " "), r" *\n *", "\n"))
+    """Line breaks kept, other tags out, the five basic entities decoded. For anything else use operators.html.
+
+    Patterns are searched for only in texts that hold what they begin with."""
+    no_breaks = lambda x: F.when(F.contains(F.lower(x), F.lit("<br")), F.regexp_replace(x, r"(?i)<br\s*/?>", "\n")).otherwise(x)
+
+    def decoded(x: Column) -> Column:
+        out = F.regexp_replace(no_breaks(x), r"<[^>]*>", " ")
+        for a, b in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
+            out = F.replace(out, F.lit(a), F.lit(b))
+        return F.regexp_replace(out, r"[ \t]+", " ")
+
+    # without entities, tags and blanks that stand together become one blank at once
+    out = once(c, lambda x: F.when(~F.contains(x, F.lit("&")), F.regexp_replace(no_breaks(x), r"(?:<[^>]*+>|[ \t]++)++", " ")).otherwise(decoded(x)))
+    return stripped(once(out, lambda x: F.when(F.contains(x, F.lit("\n")), F.regexp_replace(x, r" *\n *", "\n")).otherwise(x)))
 
 
 def split_operators(c: Column) -> Column:

@@ -328,7 +328,9 @@ _TICKET = """tk AS (SELECT o_orderkey, nullif(trim(CASE WHEN o_orderkey % 50 = 0
 def wide_ticket_projection(spark, sf):
     k = F.col("o_orderkey")
     rep = lambda s, n: F.repeat(F.lit(s), (k % n).cast("int"))
-    raw = _Tables(spark, sf).orders.select(
+    orders = _Tables(spark, sf).orders.select("o_orderkey")
+    # a few MB of keys become GBs of text, so they are dealt out by rows
+    raw = orders.repartition(orders.count() // 10_000 + 1).select(
         F.when(k % 50 == 0, F.lit(" ")).otherwise(F.concat(F.lit("T"), k.cast("string"))).alias("numero_fe"), F.lit("t").alias("titre_nc"), F.lit("d").alias("detail_nc"), rep("ab<br>", 30).alias("resume"), rep("<b>cause</b> ", 700).alias("cause_nc"),
         F.array(F.when(k % 2 == 0, F.lit("")).otherwise(F.concat(F.lit("v"), k.cast("string"))), F.lit(None).cast("string"), rep("9", 250)).alias("versioneffective"), F.element_at(F.array(F.lit("17"), F.lit("jdoe"), F.lit("")), (k % 3 + 1).cast("int")).alias("resp_traitement_nc"),
         (k % 9).cast("string").alias("etape"), F.struct(F.when(k % 4 != 3, F.concat(F.lit(" P"), (k % 4).cast("string"))).otherwise(F.lit("")).alias("_id")).alias("projet_ticket"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.scalars import uuid5
-from ..functions.text import light_html, strip
+from ..functions.text import light_html, once, strip
 from ..operators import html
 
 #: Limits: characters of a joined list, least and most of a text that is kept.
@@ -36,14 +36,14 @@ def joined_list(items: Column, most: int = LIST) -> Column:
 
 def gated(text: Column, least: int = LEAST, most: int | None = None) -> Column:
     """The text, cut to `most` characters, if it has at least `least`."""
-    return F.when(F.length(text) >= least, F.left(text, F.lit(most)) if most else text)
+    return once(text, lambda x: F.when(F.length(x) >= least, F.left(x, F.lit(most)) if most else x))
 
 
 def wide_tickets(raw: DataFrame, copied=COPIED) -> DataFrame:
     """raw: tickets with numero_fe, titre_nc, detail_nc, resume, cause_nc, versioneffective, resp_traitement_nc and the
     fields of `copied`. Rows without a number go. HTML becomes text; a summary needs 50 characters, a cause 50 and is cut
     at 4000; effective versions are joined and cut at 200; a login is kept if it is a text. Empty texts become null."""
-    text = lambda c: strip(light_html(F.coalesce(F.col(c), F.lit(""))))
+    text = lambda c: light_html(F.coalesce(F.col(c), F.lit("")))
     number = F.nullif(strip(F.col("numero_fe").cast("string")), F.lit(""))
     plain = [F.nullif(strip(F.col(s).cast("string")), F.lit("")).alias(n) if t == "string" else F.col(s).alias(n) if t == "keep" else F.col(s).try_cast(t).alias(n) for n, s, t in copied]
     login = F.col("resp_traitement_nc")
